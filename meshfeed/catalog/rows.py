@@ -45,10 +45,8 @@ def filter_then_project(spark, sf_dir):
     select conv_id, turn, unnest(words) as word from (
       select conv_id, turn, unnest({WORD_LISTS_SQL}) as words from conversations)""")
 def explode_nested(spark, sf_dir):
-    lists = table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", word_lists("text").alias("lists")
-    )
-    return ops.explode_nested(lists, "lists", "word").drop("lists")
+    lists = word_lists(table(spark, sf_dir, "conversations"), "text", "lists")
+    return ops.explode_nested(lists, "lists", "word").select("conv_id", "turn", "word")
 
 
 @query("select distinct user_id, event_type from events")

@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from meshfeed.functions.payload import named
+
 
 def start_json_sink(
     df: DataFrame,
@@ -17,13 +20,17 @@ def start_json_sink(
     compression: str | None = None,
     keep_nulls: bool = False,
     name: str | None = None,
+    gather: int | None = None,
 ) -> StreamingQuery:
     """Append to JSON files under ``path``; ``checkpoint`` must be a shared folder.
 
     A micro-batch starts every ``interval``; with ``None`` what is there now is processed and
-    the query ends. Rows are written where they are decoded, without a shuffle: the current
-    hour holds nearly all of a batch, so gathering by date and hour would pile it on one task.
+    the query ends. Rows are written where they are decoded, without a shuffle, which suits a
+    live stream: a batch falls into one hour or two. For a backlog spread over many partitions
+    set ``gather``, see :func:`gather_partitions`.
     """
+    if gather is not None:
+        df = gather_partitions(df, partition_by, gather)
     writer = (
         df.writeStream.format("json")
         .option("path", path)
@@ -44,6 +51,20 @@ def start_json_sink(
     return writer.start()
 
 
+def gather_partitions(df: DataFrame, partition_by: Sequence[str], writers: int) -> DataFrame:
+    """Bring the rows of an output partition to at most ``writers`` tasks.
+
+    Otherwise every task writes a small file into every partition it has rows for. Which of the
+    writers a row goes to follows from the task that read it, not from the row, so an hour that
+    holds most of the rows, or very many equal rows, is still split evenly; and a task that is
+    run again sends its rows to the same places.
+    """
+    columns = df.columns
+    spread = df.withColumn("_writer", F.spark_partition_id() % writers)
+    spread = spread.repartition(*[named(n) for n in partition_by], "_writer")
+    return spread.select(*[named(n) for n in columns])
+
+
 def run_until_stopped(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Wait for the query; stop it when interrupted or when ``timeout`` seconds are over.
 

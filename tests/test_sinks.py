@@ -1,0 +1,121 @@
+import json
+
+import pytest
+
+from meshfeed.operators.columns import encode_rows
+from meshfeed.plans.job import Feed
+from meshfeed.sinks.archive import archive_path, move_to_archive
+from meshfeed.sinks.documents import write_json_records
+from meshfeed.sinks.messages import delivery_check, fan_out, publish
+from meshfeed.sources.topics import Topic, folder_topic, read_topic
+
+
+def messages(spark, *texts):
+    return spark.createDataFrame([(t,) for t in texts], "value string")
+
+
+def check(sent, received):
+    return delivery_check(sent, received).first().asDict()
+
+
+def test_publish_appends(spark, tmp_path):
+    topic = folder_topic(str(tmp_path / "t"))
+    publish(messages(spark, "a"), topic)
+    publish(messages(spark, "b"), topic)
+    assert sorted(r.value for r in read_topic(spark, topic).collect()) == ["a", "b"]
+
+
+def test_publish_failure_is_raised(spark):
+    with pytest.raises(Exception, match="no-such-connector"):
+        publish(messages(spark, "a"), Topic("no-such-connector"))
+
+
+def test_fan_out_computes_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    counted = messages(spark, "a", "b", "c").mapInPandas(count, "value string")
+    topics = [folder_topic(str(tmp_path / n)) for n in ("one", "two", "three")]
+    fan_out(counted, topics)
+    for topic in topics:
+        assert sorted(r.value for r in read_topic(spark, topic).collect()) == ["a", "b", "c"]
+    assert seen.value == 3
+
+
+def test_delivery_check_counts_copies(spark):
+    sent = messages(spark, '{"a":1}', '{"a":1}', '{"b":2}')
+    assert check(sent, sent) == {
+        "sent": 3,
+        "received": 3,
+        "missing": 0,
+        "unexpected": 0,
+        "unreadable": 0,
+    }
+    received = messages(spark, '{"a":1}', '{"c":3}', "bad", "bad")
+    assert check(sent, received) == {
+        "sent": 3,
+        "received": 4,
+        "missing": 2,
+        "unexpected": 3,
+        "unreadable": 2,
+    }
+
+
+def test_delivery_check_of_nothing(spark):
+    none = messages(spark, "x").filter("false")
+    assert set(check(none, none).values()) == {0}
+
+
+def test_feed_runs_steps_in_order_and_checks(spark, tmp_path):
+    topic = folder_topic(str(tmp_path / "t"))
+    feed = Feed(
+        lambda session: session.range(4),
+        [lambda df: df.filter("id > 0"), lambda df: df.withColumnRenamed("id", "n"), encode_rows],
+        [topic],
+        preview_rows=1,
+    )
+    feed.run(spark)
+    sent = sorted(r.value for r in read_topic(spark, topic).collect())
+    assert sent == ['{"n":1}', '{"n":2}', '{"n":3}']
+    assert feed.check(spark, topic).first().missing == 0
+
+
+def test_feed_without_steps_passes_rows(spark):
+    feed = Feed(lambda session: messages(session, "a"))
+    assert [r.value for r in feed.messages(spark).collect()] == ["a"]
+
+
+def test_json_records(spark, tmp_path):
+    df = spark.sql("select 1 as a, cast(null as string) as b")
+    for keep, expected in ((True, {"a": 1, "b": None}), (False, {"a": 1})):
+        write_json_records(df, str(tmp_path / "r"), keep_nulls=keep)
+        (part,) = (tmp_path / "r").glob("part-*")
+        assert json.loads(part.read_text()) == expected
+
+
+def test_archive_path():
+    assert archive_path("/a/b/c.json") == "/a/b/archive/c.json"
+    assert archive_path("hdfs://h/a/b/") == "hdfs://h/a/archive/b"
+
+
+def test_move_to_archive(spark, tmp_path):
+    for name in ("file.json", "folder"):
+        source = tmp_path / name
+        if name == "folder":
+            source.mkdir()
+            (source / "part-0").write_text("x")
+        else:
+            source.write_text("x")
+        moved = move_to_archive(spark, str(source))
+        assert moved == str(tmp_path / "archive" / name)
+        assert not source.exists() and (tmp_path / "archive" / name).exists()
+    (tmp_path / "file.json").write_text("newer")
+    with pytest.raises(FileExistsError):
+        move_to_archive(spark, str(tmp_path / "file.json"))
+    assert (tmp_path / "archive" / "file.json").read_text() == "x"
+    with pytest.raises(Exception):
+        move_to_archive(spark, str(tmp_path / "absent"))
