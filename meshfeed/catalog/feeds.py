@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from meshfeed.catalog.registry import query, table
+from meshfeed.catalog.registry import query
 from meshfeed.catalog.standins import (
     ANON_WORDS,
     LINK_PREFIX,
@@ -15,7 +15,6 @@ from meshfeed.catalog.standins import (
 )
 from meshfeed.plans import router_score
 from meshfeed.plans import site_alert
-from meshfeed.sinks.documents import array_lines
 
 _IDENTITY = """
       serial_num := serial_num,
@@ -85,7 +84,8 @@ def sample_feed_anon(spark, sf_dir):
 _ALERT_FLAGS = ", ".join(f"{name} := {name}" for name in site_alert.ALERTS)
 
 
-@query(f"""
+def _site_sql(alert_flags: str) -> str:
+    return f"""
     select cast(to_json(struct_pack(
       enodeb := enodeb,
       alert_day := "day",
@@ -97,26 +97,23 @@ _ALERT_FLAGS = ", ".join(f"{name} := {name}" for name in site_alert.ALERTS)
       w360_ticket_counts := w360_ticket_counts,
       vendor := 'samsung',
       features := {gated_json_sql(site_alert.FEATURES)},
-      features_alert := cast(json_merge_patch('{{}}', to_json(struct_pack({_ALERT_FLAGS})))
-        as varchar),
+      {alert_flags}
       link := '{LINK_PREFIX}' || enodeb)) as varchar) as "value"
-    from ({SITES_SQL}) where l_discount > 0.05""")
+    from ({SITES_SQL}) where l_discount > 0.05"""
+
+
+@query(
+    _site_sql(
+        f"features_alert := cast(json_merge_patch('{{}}', to_json(struct_pack({_ALERT_FLAGS}))) "
+        "as varchar),"
+    )
+)
 def site_alert_report(spark, sf_dir):
     return site_alert.site_alert_report(sites(spark, sf_dir), LINK_PREFIX)
 
 
-@query("""
-    select
-      cast(to_json(struct_pack(
-        o_orderkey := o_orderkey, o_custkey := o_custkey, status := nullif(o_orderstatus, 'P'),
-        o_totalprice := o_totalprice)) as varchar)
-      || case when o_orderkey = (select max(o_orderkey) from orders) then '' else ',' end
-      as "value"
-    from orders
-    union all select '['
-    union all select ']'""")
-def json_document(spark, sf_dir):
-    records = table(spark, sf_dir, "orders").selectExpr(
-        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') as status", "o_totalprice"
+@query(_site_sql(""))
+def site_alert_report_short(spark, sf_dir):
+    return site_alert.site_alert_report(
+        sites(spark, sf_dir), LINK_PREFIX, include_alert_flags=False
     )
-    return array_lines(records, ["o_orderkey"])

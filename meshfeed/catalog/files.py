@@ -75,6 +75,15 @@ def dated_directory(spark, sf_dir):
     select {ACTIVATION_JSON_SQL} as "value" from events
     where event_type <> 'signup' and value < 85""")
 def low_score_feed(spark, sf_dir):
+    rows = activations(spark, sf_dir)
+    folder = _written_csv(rows, "activations")
+    return activation.low_score_feed(read_csv(spark, folder, schema=rows.schema))
+
+
+@query(f"""
+    select {ACTIVATION_JSON_SQL} as "value" from events
+    where event_type <> 'signup' and value < 85""")
+def low_score_feed_inferred(spark, sf_dir):
     folder = _written_csv(activations(spark, sf_dir), "activations")
     return activation.low_score_feed(read_csv(spark, folder, infer=True))
 
@@ -82,5 +91,6 @@ def low_score_feed(spark, sf_dir):
 @query(f"""
     select {ACTIVATION_JSON_SQL} as "value" from (select * from events order by event_id limit 2)""")
 def trial_feed(spark, sf_dir):
-    folder = _written_csv(activations(spark, sf_dir, "date"), "trial")
-    return activation.trial_feed(read_csv(spark, folder, infer=True), ["event_id"])
+    rows = activations(spark, sf_dir, "date")
+    folder = _written_csv(rows, "trial")
+    return activation.trial_feed(read_csv(spark, folder, schema=rows.schema), ["event_id"])

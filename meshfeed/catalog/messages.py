@@ -8,15 +8,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshfeed.catalog.registry import query, table
+from meshfeed.functions.payload import json_object
 from meshfeed.operators.columns import encode_rows
 from meshfeed.plans.job import Feed
 from meshfeed.session import shared_folder
-from meshfeed.sinks.messages import publish
+from meshfeed.sinks.archive import move_to_archive
+from meshfeed.sinks.documents import array_messages, write_json_array, write_json_records
+from meshfeed.sinks.messages import delivery_check, publish
 from meshfeed.sources.tables import read_whole_files
 from meshfeed.sources.topics import folder_topic, read_topic
 
 _CUSTOMER_SQL = 'select cast(to_json(c) as varchar) as "value" from customer c'
 
+_ORDERS_JSON = """
+    cast(to_json(struct_pack(
+      o_orderkey := o_orderkey, o_custkey := o_custkey, status := nullif(o_orderstatus, 'P'),
+      o_totalprice := o_totalprice)) as varchar)"""
+_DOCUMENT_SQL = f"""
+    select {_ORDERS_JSON}
+      || case when o_orderkey = (select max(o_orderkey) from orders) then '' else ',' end
+      as "value"
+    from orders
+    union all select '['
+    union all select ']'"""
+
 RECORDS_PER_FILE = 1000
 
 
@@ -44,14 +59,34 @@ def publish_fan_out(spark, sf_dir):
 
 
 @query("""
-    select count(*) as sent, count(*) as received, cast(0 as bigint) as missing,
+    select 0 as topic, count(*) as sent, count(*) as received, cast(0 as bigint) as missing,
       cast(0 as bigint) as unexpected, cast(0 as bigint) as unreadable
     from customer""")
 def publish_readback_check(spark, sf_dir):
     topic = folder_topic(shared_folder(spark, "topic"))
-    feed = Feed(_customers(sf_dir), [encode_rows], [topic])
-    feed.run(spark)
-    return feed.check(spark, topic)
+    return Feed(_customers(sf_dir), [encode_rows], [topic]).run_checked(spark)
+
+
+@query("""
+    select
+      count(*) as sent,
+      count(*) filter (c_mktsegment <> 'BUILDING') + count(*) filter (c_acctbal < 0) as received,
+      count(*) filter (c_mktsegment in ('BUILDING', 'MACHINERY')) as missing,
+      count(*) filter (c_mktsegment = 'MACHINERY') + count(*) filter (c_acctbal < 0) as unexpected,
+      count(*) filter (c_mktsegment = 'MACHINERY') as unreadable
+    from customer""")
+def delivery_gaps(spark, sf_dir):
+    """One segment was not delivered, one was damaged, and overdrawn accounts came with extra
+    messages."""
+    customers = table(spark, sf_dir, "customer")
+    arrived = customers.filter("c_mktsegment <> 'BUILDING'").select(
+        F.when(F.col("c_mktsegment") == "MACHINERY", "{").otherwise(json_object("*")).alias("value")
+    )
+    extra = customers.filter("c_acctbal < 0").select(F.lit("{}").alias("value"))
+    topic = folder_topic(shared_folder(spark, "topic"))
+    publish(arrived, topic)
+    publish(extra, topic)
+    return delivery_check(encode_rows(customers), read_topic(spark, topic))
 
 
 @query("""
@@ -67,3 +102,40 @@ def whole_file_messages(spark, sf_dir):
     publish(read_whole_files(spark, files, glob="part-*"), topic)
     lines = F.explode(F.split("value", "\n"))
     return read_topic(spark, topic).select(lines.alias("line")).filter("line <> ''")
+
+
+def _orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') as status", "o_totalprice"
+    )
+
+
+@query(_DOCUMENT_SQL)
+def json_document(spark, sf_dir):
+    folder = shared_folder(spark, "document")
+    write_json_array(_orders(spark, sf_dir), folder, ["o_orderkey"])
+    return spark.read.text(folder)
+
+
+@query(f'select {_ORDERS_JSON} as "value" from orders')
+def json_records(spark, sf_dir):
+    folder = shared_folder(spark, "records")
+    write_json_records(_orders(spark, sf_dir), folder)
+    return spark.read.text(folder)
+
+
+@query(_DOCUMENT_SQL)
+def archived_document(spark, sf_dir):
+    """A document that was written and then moved to the archive, read there."""
+    folder = shared_folder(spark, "reports") + "/document"
+    write_json_array(_orders(spark, sf_dir), folder, ["o_orderkey"])
+    return spark.read.text(move_to_archive(spark, folder))
+
+
+@query(f"select {_ORDERS_JSON} as record from orders")
+def document_messages(spark, sf_dir):
+    """A document sent as array messages of bounded length; their records."""
+    topic = folder_topic(shared_folder(spark, "topic"))
+    publish(array_messages(_orders(spark, sf_dir), ["o_orderkey"]), topic)
+    arrays = F.from_json("value", "array<string>")
+    return read_topic(spark, topic).select(F.explode(arrays).alias("record"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meshfeed.sinks.messages import delivery_check, fan_out
 from meshfeed.sources.topics import Topic, read_topic
@@ -31,14 +33,22 @@ class Feed:
             df = df.transform(step)
         return df
 
-    def run(self, spark: SparkSession) -> None:
-        """Publish to every topic. A preview computes the feed once more, so it is off unless
-        asked for."""
+    def run(self, spark: SparkSession, keep: bool = False) -> DataFrame:
+        """Publish to every topic; returns the messages, from a staged table if ``keep``.
+
+        A preview computes the feed once more, so there is none unless asked for.
+        """
         df = self.messages(spark)
         if self.preview_rows:
             df.show(self.preview_rows, truncate=False)
-        fan_out(df, self.topics)
-
-    def check(self, spark: SparkSession, topic: Topic) -> DataFrame:
-        """Counts of what was sent and what ``topic`` holds; see :func:`delivery_check`."""
-        return delivery_check(self.messages(spark), read_topic(spark, topic))
+        return fan_out(df, self.topics, keep)
+
+    def run_checked(self, spark: SparkSession) -> DataFrame:
+        """Publish, then compare what was sent with what each topic holds, one row per topic
+        in their order; see :func:`delivery_check` for the counts."""
+        sent = self.run(spark, keep=True)
+        reports = [
+            delivery_check(sent, read_topic(spark, topic)).withColumn("topic", F.lit(number))
+            for number, topic in enumerate(self.topics)
+        ]
+        return reduce(DataFrame.unionByName, reports)

@@ -16,7 +16,7 @@ from meshfeed.operators.columns import (
     rename_columns,
 )
 from meshfeed.operators.rows import flag_then_project
-from meshfeed.sinks.documents import array_lines, write_json_array
+from meshfeed.sinks.documents import array_lines, array_messages, write_json_array
 
 # Columns of the site table and of the report.
 KEYS = ("enodeb", "day", "event_day", "site", "region", "abnormal_kpi")
@@ -75,6 +75,18 @@ def site_alert_document(
     return array_lines(site_alert_records(df, link_prefix, **choices), order_by)
 
 
+def site_alert_messages(
+    df: DataFrame,
+    link_prefix: str,
+    order_by: Sequence[str] = REPORT_ORDER,
+    records_per_message: int = 1000,
+    **choices,
+) -> DataFrame:
+    """The report as JSON array messages, a single one if there are few records."""
+    records = site_alert_records(df, link_prefix, **choices)
+    return array_messages(records, order_by, records_per_message)
+
+
 def write_site_alert_document(
     df: DataFrame, path: str, link_prefix: str, order_by: Sequence[str] = REPORT_ORDER, **choices
 ) -> None:

@@ -18,17 +18,19 @@ def publish(df: DataFrame, topic: Topic) -> None:
     messages.write.format(topic.format).options(**topic.options).mode("append").save()
 
 
-def fan_out(df: DataFrame, topics: Sequence[Topic]) -> None:
-    """Send the same messages to several topics.
+def fan_out(df: DataFrame, topics: Sequence[Topic], keep: bool = False) -> DataFrame:
+    """Send the same messages to several topics; returns the messages.
 
-    The messages are computed once and staged as a table. A cache would be lost with its
-    executor and computed anew between two targets.
+    For more than one topic they are computed once and staged as a table. A cache would be lost
+    with its executor and computed anew between two targets. ``keep`` stages them for one topic
+    too, for when the result is read again, as a delivery check does.
     """
     messages = df.select(named("value"))
-    if len(topics) > 1:
+    if keep or len(topics) > 1:
         messages = stage(messages, "fan-out")
     for topic in topics:
         publish(messages, topic)
+    return messages
 
 
 def delivery_check(sent: DataFrame, received: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from meshfeed.operators.columns import encode_rows
 from meshfeed.plans.job import Feed
 from meshfeed.sinks.archive import archive_path, move_to_archive
-from meshfeed.sinks.documents import write_json_records
+from meshfeed.sinks.documents import array_messages, write_json_records
 from meshfeed.sinks.messages import delivery_check, fan_out, publish
 from meshfeed.sources.topics import Topic, folder_topic, read_topic
 
@@ -81,7 +81,9 @@ def test_feed_runs_steps_in_order_and_checks(spark, tmp_path):
     feed.run(spark)
     sent = sorted(r.value for r in read_topic(spark, topic).collect())
     assert sent == ['{"n":1}', '{"n":2}', '{"n":3}']
-    assert feed.check(spark, topic).first().missing == 0
+    report = feed.run_checked(spark).first()
+    assert (report.topic, report.sent, report.missing) == (0, 3, 0)
+    assert report.unexpected == 3  # those of the first run
 
 
 def test_feed_without_steps_passes_rows(spark):
@@ -119,3 +121,23 @@ def test_move_to_archive(spark, tmp_path):
     assert (tmp_path / "archive" / "file.json").read_text() == "x"
     with pytest.raises(Exception):
         move_to_archive(spark, str(tmp_path / "absent"))
+
+
+def test_small_document_is_one_message(spark):
+    df = spark.createDataFrame([(3, None), (1, "a"), (2, "b")], "n int, s string").repartition(3)
+    (message,) = array_messages(df, ["n"]).collect()
+    assert json.loads(message.value) == [{"n": 1, "s": "a"}, {"n": 2, "s": "b"}, {"n": 3, "s": None}]
+
+
+def test_large_document_is_messages_of_consecutive_records(spark):
+    df = spark.range(0, 1050, 1, 7).selectExpr("id", "1 as same").repartition(5)
+    arrays = [json.loads(r.value) for r in array_messages(df, ["id"], 100).collect()]
+    assert all(0 < len(a) <= 100 for a in arrays)
+    assert all([r["id"] for r in a] == list(range(a[0]["id"], a[0]["id"] + len(a))) for a in arrays)
+    assert sorted(r["id"] for a in arrays for r in a) == list(range(1050))
+
+
+def test_equal_records_all_stay_in_messages(spark):
+    df = spark.range(0, 500, 1, 4).selectExpr("1 as same")
+    arrays = [json.loads(r.value) for r in array_messages(df, ["same"], 60).collect()]
+    assert sum(len(a) for a in arrays) == 500 and max(len(a) for a in arrays) <= 60
