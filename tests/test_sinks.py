@@ -129,9 +129,14 @@ def test_small_document_is_one_message(spark):
     assert json.loads(message.value) == [{"n": 1, "s": "a"}, {"n": 2, "s": "b"}, {"n": 3, "s": None}]
 
 
+def test_empty_document_is_an_empty_array(spark):
+    none = spark.range(3).filter("id > 5")
+    assert [r.value for r in array_messages(none, ["id"]).collect()] == ["[]"]
+
+
 def test_large_document_is_messages_of_consecutive_records(spark):
     df = spark.range(0, 1050, 1, 7).selectExpr("id", "1 as same").repartition(5)
-    arrays = [json.loads(r.value) for r in array_messages(df, ["id"], 100).collect()]
+    arrays = [json.loads(r.value) for r in array_messages(df, ["id"], records_per_message=100).collect()]
     assert all(0 < len(a) <= 100 for a in arrays)
     assert all([r["id"] for r in a] == list(range(a[0]["id"], a[0]["id"] + len(a))) for a in arrays)
     assert sorted(r["id"] for a in arrays for r in a) == list(range(1050))
@@ -139,5 +144,5 @@ def test_large_document_is_messages_of_consecutive_records(spark):
 
 def test_equal_records_all_stay_in_messages(spark):
     df = spark.range(0, 500, 1, 4).selectExpr("1 as same")
-    arrays = [json.loads(r.value) for r in array_messages(df, ["same"], 60).collect()]
+    arrays = [json.loads(r.value) for r in array_messages(df, ["same"], records_per_message=60).collect()]
     assert sum(len(a) for a in arrays) == 500 and max(len(a) for a in arrays) <= 60
