@@ -76,13 +76,13 @@ def site_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
         print(move_to_archive(spark, args.document))
 
 
-def _ingest(spark: SparkSession, args: argparse.Namespace, decode, *order) -> None:
+def _ingest(spark: SparkSession, args: argparse.Namespace, decode, **layout) -> None:
     query = start_json_sink(
         decode(stream_topic(spark, args.topic[0])),
         args.out,
         args.checkpoint,
         interval=None if args.once else args.interval,
-        *order,
+        **layout,
     )
     run_until_stopped(query)
 
