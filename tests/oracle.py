@@ -1,11 +1,12 @@
 """Comparing a query's rows with those of its SQL on the same tables."""
 
 import math
+import os
 from pathlib import Path
 
 import duckdb
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 
 
 def connect(sf_dir=SF_DIR):

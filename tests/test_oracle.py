@@ -3,6 +3,16 @@ import pytest
 import __spark_entry__ as contract
 from tests import oracle
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "float": "FLOAT",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
 QUERIES = contract.queries()
 SQL = contract.oracle_sql()
 
@@ -18,7 +28,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, name):
-    columns, rows = oracle.actual(QUERIES[name](spark, oracle.SF_DIR))
+    df = QUERIES[name](spark, oracle.SF_DIR)
+    described = duck.execute(f"describe {SQL[name]}").fetchall()
+    assert {n: DUCK_TYPES[t] for n, t in df.dtypes} == {row[0]: row[1] for row in described}
+    columns, rows = oracle.actual(df)
     sql_columns, sql_rows = oracle.expected(duck, SQL[name])
     assert columns == sql_columns
     assert rows
