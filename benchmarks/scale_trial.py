@@ -2,7 +2,8 @@
 
     python benchmarks/scale_trial.py FOLDER 1 10 40
 
-For each factor the inputs are written below FOLDER once, then each feed runs to the end.
+For each factor the inputs are written below FOLDER once, then each feed runs to the end;
+``TRIAL_FEEDS=a,b`` picks feeds.
 Prints one line per feed: seconds, input rows per second, and the share of the output rows that
 the fullest task had.
 """
@@ -27,6 +28,8 @@ from meshfeed.streaming.ingest import gather_partitions  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
+WANTED = [n for n in os.environ.get("TRIAL_FEEDS", "").split(",") if n]
+
 
 def repeated(df: DataFrame, factor: int, key: str) -> DataFrame:
     """``factor`` times the rows under new keys, and half as many again under one key."""
@@ -104,6 +107,8 @@ def main() -> None:
             ),
         }
         for name, (source, make) in feeds.items():
+            if WANTED and name not in WANTED:
+                continue
             rows = source.count()
             start = time.perf_counter()
             make().write.format("noop").mode("overwrite").save()
