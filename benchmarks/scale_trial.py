@@ -3,7 +3,7 @@
     python benchmarks/scale_trial.py FOLDER 1 10 40
 
 For each factor the inputs are written below FOLDER once, then each feed runs to the end;
-``TRIAL_FEEDS=a,b`` picks feeds.
+``TRIAL_FEEDS=a,b`` picks feeds, ``TRIAL_MEMORY=2g`` sets the heap.
 Prints one line per feed: seconds, input rows per second, and the share of the output rows that
 the fullest task had.
 """
@@ -69,7 +69,7 @@ def main() -> None:
         shuffle_partitions=32,
         settings={
             "spark.ui.enabled": "false",
-            "spark.driver.memory": "12g",
+            "spark.driver.memory": os.environ.get("TRIAL_MEMORY", "12g"),
             "spark.checkpoint.dir": f"{folder}/shared",
             # so that the share of the fullest task is that of the shuffle itself
             "spark.sql.adaptive.coalescePartitions.enabled": "false",

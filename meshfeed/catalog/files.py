@@ -57,6 +57,18 @@ def date_window_scan(spark, sf_dir):
     return dated.in_window(read_csv(spark, folder, schema=events.schema), "day", _TARGET)
 
 
+@query("""
+    select event_id, user_id, value from events
+    where cast(ts as date) between date '2024-01-13' and date '2024-01-16'""")
+def date_window_paths(spark, sf_dir):
+    """The same window as a list of paths, one for each day."""
+    folder = shared_folder(spark, "csv-days")
+    events = _daily_events(spark, sf_dir)
+    events.write.option("header", "true").partitionBy("day").csv(folder)
+    schema = events.drop("day").schema
+    return dated.read_csv_window(spark, folder, _TARGET, name="day={day}", schema=schema)
+
+
 @query("select * from events where cast(ts as date) = date '2024-01-15'")
 def dated_input(spark, sf_dir):
     return dated.on_day(table(spark, sf_dir, "events"), "ts", _TARGET)

@@ -33,25 +33,31 @@ def stream_decode_to_json(spark, sf_dir):
     return spark.read.schema(router_score.MESSAGE_SCHEMA).json(out)
 
 
-@query(LOCATION_SQL)
-def stream_partitioned_json(spark, sf_dir):
+def _location_ingest(spark, sf_dir, **layout):
     topic = folder_topic(shared_folder(spark, "topic"))
     location_messages(spark, sf_dir).write.text(topic.options["path"])
-    out = shared_folder(spark, "locations")
+    out, checkpoint = shared_folder(spark, "locations"), shared_folder(spark, "progress")
     records = location_events.location_records(stream_topic(spark, topic))
+    compression = location_events.COMPRESSION
     run_available(
         start_json_sink(
-            records,
-            out,
-            shared_folder(spark, "progress"),
-            interval=None,
-            partition_by=location_events.PARTITION_BY,
-            compression=location_events.COMPRESSION,
+            records, out, checkpoint, interval=None, compression=compression, **layout
         )
     )
     return spark.read.schema(records.schema).json(out)
 
 
+@query(LOCATION_SQL)
+def stream_partitioned_json(spark, sf_dir):
+    return _location_ingest(spark, sf_dir, partition_by=location_events.PARTITION_BY)
+
+
+@query(LOCATION_SQL)
+def stream_backlog_json(spark, sf_dir):
+    """All days at once, so rows are gathered by day, at most four files each."""
+    return _location_ingest(spark, sf_dir, partition_by=("date",), gather=4)
+
+
 @query(EVENT_MESSAGES_SQL)
 def stream_restart(spark, sf_dir):
     """Stopped and started again with the same checkpoint: new input is added, old is not."""

@@ -40,6 +40,7 @@ class Feed:
         """
         df = self.messages(spark)
         if self.preview_rows:
+            df.printSchema()
             df.show(self.preview_rows, truncate=False)
         return fan_out(df, self.topics, keep)
 

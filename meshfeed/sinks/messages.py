@@ -40,7 +40,7 @@ def delivery_check(sent: DataFrame, received: DataFrame) -> DataFrame:
     received that are not JSON. Both sides are reduced to counts per SHA-256 digest before they
     meet, so message texts are not shuffled and a message with many copies is one row.
     """
-    digest = F.sha2(F.coalesce(named("value"), F.lit("")), 256)
+    digest = F.unhex(F.sha2(F.coalesce(named("value"), F.lit("")), 256))
     unreadable = F.when(
         named("value").isNotNull() & F.try_parse_json(named("value")).isNull(), 1
     ).otherwise(0)

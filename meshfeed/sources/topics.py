@@ -53,7 +53,6 @@ def tls_topic(
         "pulsar.client.tlsTrustCertsFilePath": ca_file,
         "pulsar.client.useTls": "true",
         "pulsar.client.tlsAllowInsecureConnection": "false",
-        "pulsar.client.tlsHostnameVerificationenable": "false",
     }
     if reading:
         options["topics"] = topic

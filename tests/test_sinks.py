@@ -1,11 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from meshfeed.operators.columns import encode_rows
 from meshfeed.plans.job import Feed
 from meshfeed.sinks.archive import archive_path, move_to_archive
-from meshfeed.sinks.documents import array_messages, write_json_records
+from meshfeed.sinks.documents import array_lines, array_messages, write_json_records
 from meshfeed.sinks.messages import delivery_check, fan_out, publish
 from meshfeed.sources.topics import Topic, folder_topic, read_topic
 
@@ -146,3 +147,18 @@ def test_equal_records_all_stay_in_messages(spark):
     df = spark.range(0, 500, 1, 4).selectExpr("1 as same")
     arrays = [json.loads(r.value) for r in array_messages(df, ["same"], records_per_message=60).collect()]
     assert sum(len(a) for a in arrays) == 500 and max(len(a) for a in arrays) <= 60
+
+
+def test_one_key_does_not_pile_up_in_one_task(spark):
+    """Every row has the same sort key, and half of them are copies of one row."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        df = spark.range(0, 4000, 1, 8).selectExpr("1 as same", "if(id < 2000, 0, id) as n")
+        per_task = array_lines(df, ["same"]).groupBy(F.spark_partition_id()).count().collect()
+        arrays = [json.loads(r.value) for r in array_messages(df, ["same"]).collect()]
+    finally:
+        spark.conf.unset(key)
+    assert sum(r["count"] for r in per_task) == 4002
+    assert max(r["count"] for r in per_task) < 2000
+    assert sum(len(a) for a in arrays) == 4000 and max(len(a) for a in arrays) <= 1000

@@ -70,6 +70,13 @@ def test_decoding_rules(spark, tmp_path):
     assert "bad" in {r.corrupt for r in decoded.collect()}
 
 
+def test_null_message_is_a_row_of_nulls(spark):
+    messages = spark.createDataFrame([(None,), (b'{"serial_num":"1"}',)], "value binary")
+    decoded = router_score.score_records(messages, corrupt_column="corrupt").collect()
+    assert {r.serial_num for r in decoded} == {None, "1"}
+    assert all(r.corrupt is None and r.home_score is None for r in decoded)
+
+
 def test_malformed_messages_become_empty_objects(spark, tmp_path):
     ingest(spark, inbox(tmp_path, "a.txt", ["bad"]), tmp_path)
     (part,) = (tmp_path / "out").glob("part-*")
