@@ -16,6 +16,9 @@ SETTINGS = {
     # size shuffle partitions by bytes, not by the number of free cores
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # document messages are collected group by group: after this many a task goes over to
+    # sorting, which spills, and holds one group at a time
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "8",
 }
 
 
