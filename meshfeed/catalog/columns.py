@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meshfeed.catalog.registry import query, table
-from meshfeed.catalog.standins import gated_json_sql, sites, SITES_SQL
+from meshfeed.catalog.standins import SITES_SQL, gated_json_sql, sites
 from meshfeed.functions.alerts import alerting_json
 from meshfeed.functions.payload import json_object
 from meshfeed.functions.values import map_value
@@ -16,7 +16,8 @@ from meshfeed.plans.site_alert import FEATURES
 
 @query("select s_suppkey, s_acctbal from supplier")
 def select_except(spark, sf_dir):
-    return ops.select_except(table(spark, sf_dir, "supplier"), ["s_name", "s_nationkey", "S_ACCTBAL"])
+    unwanted = ["s_name", "s_nationkey", "S_ACCTBAL"]
+    return ops.select_except(table(spark, sf_dir, "supplier"), unwanted)
 
 
 @query(

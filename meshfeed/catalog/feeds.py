@@ -13,8 +13,7 @@ from meshfeed.catalog.standins import (
     routers,
     sites,
 )
-from meshfeed.plans import router_score
-from meshfeed.plans import site_alert
+from meshfeed.plans import router_score, site_alert
 
 _IDENTITY = """
       serial_num := serial_num,

@@ -101,7 +101,8 @@ def low_score_feed_inferred(spark, sf_dir):
 
 
 @query(f"""
-    select {ACTIVATION_JSON_SQL} as "value" from (select * from events order by event_id limit 2)""")
+    select {ACTIVATION_JSON_SQL} as "value"
+    from (select * from events order by event_id limit 2)""")
 def trial_feed(spark, sf_dir):
     rows = activations(spark, sf_dir, "date")
     folder = _written_csv(rows, "trial")

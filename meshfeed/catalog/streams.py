@@ -73,7 +73,10 @@ def stream_restart(spark, sf_dir):
 
 
 _ARCHIVE_SCHEMA = T.StructType(
-    [T.StructField("event_id", T.LongType(), True), T.StructField("event_type", T.StringType(), True)]
+    [
+        T.StructField("event_id", T.LongType(), True),
+        T.StructField("event_type", T.StringType(), True),
+    ]
 )
 
 

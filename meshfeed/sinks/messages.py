@@ -58,7 +58,7 @@ def delivery_check(sent: DataFrame, received: DataFrame) -> DataFrame:
     per_message = (
         marked_sent.unionByName(marked_received)
         .groupBy("digest")
-        .agg(F.sum("out").alias("out"), F.sum("back").alias("back"), F.sum("broken").alias("broken"))
+        .agg(*[F.sum(count).alias(count) for count in ("out", "back", "broken")])
     )
 
     def total(column):
