@@ -132,11 +132,10 @@ def with_columns(batch: pa.RecordBatch, **new: pa.Array) -> pa.RecordBatch:
     )
 
 
-def schema_with(df: DataFrame, new: str) -> str:
+def schema_with(df: DataFrame, **new: str) -> str:
     """DDL of ``df`` followed by the columns ``new``; columns of the same names are left out."""
-    added = {f.split(" ")[0] for f in new.split(", ")}
-    kept = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema if f.name not in added]
-    return ", ".join([*kept, new])
+    kept = {f.name: f.dataType.simpleString() for f in df.schema if f.name not in new}
+    return ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in {**kept, **new}.items())
 
 
 def fresh(df: DataFrame, name: str) -> str:
@@ -151,3 +150,16 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """``df`` without the columns that an operator is about to add."""
     gone = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns if c.lower() not in gone])
+
+
+def set_aside(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns of these names renamed, and what each of them is called now."""
+    taken = {n.lower() for n in names}
+    now = {c: fresh(df, f"{c}_of_input") for c in df.columns if c.lower() in taken}
+    return df.withColumnsRenamed(now), now
+
+
+def restored(df: DataFrame, columns: list[str], now: dict[str, str]) -> DataFrame:
+    """The input's ``columns`` again, under their own names."""
+    quoted = {c: f"`{now.get(c, c).replace('`', '``')}`" for c in columns}
+    return df.select(*[F.col(q).alias(c) for c, q in quoted.items()])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import simhash
+from meshfeed.llm import decontaminate, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,51 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    found = decontaminate.find_contamination(docs.select("doc_id", "text"), bench, window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+DECONTAMINATION_SQL = f"""
+with d as (select doc_id, {_WORDS} as w from documents),
+b as (select item_id, {_WORDS} as w from benchmark),
+windows as (
+  select distinct item_id, least(len(w), 10) as n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') as k
+  from b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as t(i) where len(w) > 0),
+hits as (
+  select d.doc_id, x.i, l.n, windows.item_id
+  from d, (select distinct n from windows) as l, unnest(range(1, len(d.w) - l.n + 2)) as x(i)
+  join windows on windows.n = l.n and windows.k = array_to_string(d.w[x.i:x.i + l.n - 1], ' ')),
+words as (
+  select doc_id, count(distinct p) as n_hit from hits, unnest(range(i, i + n)) as t(p) group by doc_id),
+found as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(words.n_hit, 0) as n_hit,
+  coalesce(found.n_items, 0) as n_items, sha256(coalesce(found.items, '')) as items_sha256,
+  coalesce(words.n_hit, 0) > 0 as contaminated
+from d left join words using (doc_id) left join found using (doc_id)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op8_benchmark_decontamination": benchmark_decontamination,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_benchmark_decontamination": DECONTAMINATION_SQL,
+    }

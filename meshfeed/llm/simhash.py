@@ -68,7 +68,7 @@ def add_fingerprint(
         for rows, data, cuts in sliced(batches, text):
             yield with_columns(rows, **{out: pa.array(_fingerprints(data, cuts, shingle_words, seed))})
 
-    return docs.mapInArrow(run, schema_with(docs, f"{out} bigint"))
+    return docs.mapInArrow(run, schema_with(docs, **{out: "bigint"}))
 
 
 def _quarter_counts(fingerprint: str) -> list[Column]:
