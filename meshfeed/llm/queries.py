@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, simhash
+from meshfeed.llm import decontaminate, packing, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +21,16 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        capacity=4096,
+        end_id=1,
+        content={"ids_crc32": F.crc32("ids")},
+    )
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs.select("doc_id", "text"), bench, window=10)
@@ -59,6 +70,7 @@ from d left join words using (doc_id) left join found using (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_best_fit_packing": best_fit_packing,
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
     }
