@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, packing, simhash
+from meshfeed.llm import decontaminate, packing, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,27 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def remainder(column: str, divisor: int):
+    """crc32 of an id's text, modulo; rows of one remainder are held out of a fit. A null id: null."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(docs, _table(spark, sf_dir, "labels"), held_out=remainder("doc_id", 4) == 2)
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    return found.select(
+        "doc_id",
+        (remainder("doc_id", 4) == 2).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.3).cast("int").alias("predicted"),
+        F.size("offending").alias("offending_sentences"),
+    )
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"),
@@ -70,6 +91,7 @@ from d left join words using (doc_id) left join found using (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_toxicity_scores": toxicity_scores,
         "op5_best_fit_packing": best_fit_packing,
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
