@@ -124,6 +124,26 @@ def gather(cuts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.arange(total) + first, lengths
 
 
+def gather_pieces(pieces: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions in pieces (start, end) ``which``, one piece after the other, and their lengths."""
+    lengths = pieces[which, 1] - pieces[which, 0]
+    first = np.repeat(pieces[which, 0] - (np.cumsum(lengths) - lengths), lengths)
+    return np.arange(int(lengths.sum())) + first, lengths
+
+
+def same_pieces(
+    a: np.ndarray, a_pieces: np.ndarray, x: np.ndarray, b: np.ndarray, b_pieces: np.ndarray, y: np.ndarray
+) -> np.ndarray:
+    """Whether non-empty pieces ``x`` of ``a`` equal pieces ``y`` of ``b``, byte by byte."""
+    same = (a_pieces[x, 1] - a_pieces[x, 0]) == (b_pieces[y, 1] - b_pieces[y, 0])
+    at = np.flatnonzero(same)
+    if len(at):
+        i, lengths = gather_pieces(a_pieces, x[at])
+        j, _ = gather_pieces(b_pieces, y[at])
+        same[at] = ~np.logical_or.reduceat(a[i] != b[j], np.cumsum(lengths) - lengths)
+    return same
+
+
 def with_columns(batch: pa.RecordBatch, **new: pa.Array) -> pa.RecordBatch:
     """The batch with columns added; one of the same name is replaced."""
     kept = [n for n in batch.schema.names if n not in new]

@@ -14,9 +14,11 @@ from meshfeed.llm.arrow_text import (
     LOWER,
     WORD,
     gather,
+    gather_pieces,
     run_hashes,
     restored,
     runs,
+    same_pieces,
     schema_with,
     set_aside,
     sliced,
@@ -41,25 +43,6 @@ _SPANS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
 _LONGEST = pa.struct([("item", pa.string()), ("words", pa.int64()), ("at", pa.int64())])
 
 
-def _same_bytes(a: np.ndarray, a_cuts: np.ndarray, x: np.ndarray, b: np.ndarray, b_cuts: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Whether pieces ``x`` of ``a`` equal pieces ``y`` of ``b``, byte by byte."""
-    same = (a_cuts[x, 1] - a_cuts[x, 0]) == (b_cuts[y, 1] - b_cuts[y, 0])
-    at = np.flatnonzero(same)
-    if len(at):
-        i, lengths = gather_pieces(a_cuts, x[at])
-        j, _ = gather_pieces(b_cuts, y[at])
-        heads = np.cumsum(lengths) - lengths
-        same[at] = ~np.logical_or.reduceat(a[i] != b[j], heads)
-    return same
-
-
-def gather_pieces(pieces: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions in pieces (start, end) ``which``, one piece after the other, and their lengths."""
-    lengths = pieces[which, 1] - pieces[which, 0]
-    first = np.repeat(pieces[which, 0] - (np.cumsum(lengths) - lengths), lengths)
-    return np.arange(int(lengths.sum())) + first, lengths
-
-
 def _keys(ids: np.ndarray, at: np.ndarray, left: np.ndarray, window: int) -> np.ndarray:
     """The first ``window`` words of the suffixes ``at`` as byte strings that sort like the words;
     beyond the ``left`` words of a suffix stands 0, which is no word."""
@@ -176,7 +159,7 @@ def _search(block: Block, data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarra
         begin, end = begin[long], end[long]
         at, lengths = gather_pieces(np.stack([begin, end], axis=1), np.arange(len(begin)))
         if not exact and len(at):  # a word counts as known only if its bytes say so
-            known[at] = _same_bytes(data, pieces, at, block.word_data, block.word_cuts, place[at])
+            known[at] = same_pieces(data, pieces, at, block.word_data, block.word_cuts, place[at])
     if not len(at):
         return n_words, {}
     # words of known runs only, each run followed by nothing: the shard's suffixes

@@ -17,6 +17,7 @@ from meshfeed.llm.arrow_text import (
     restored,
     run_hashes,
     runs,
+    same_pieces,
     schema_with,
     set_aside,
     sliced,
@@ -30,8 +31,14 @@ from meshfeed.llm.arrow_text import (
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES, VOCABULARY = 8000, 1 << 16, 1000
 
 #: Steps and step size of the fit, and the weight decay that keeps chance words near zero.
-STEPS, RATE, DECAY = 250, 0.1, 2e-4
+STEPS, RATE, DECAY = 600, 0.1, 3e-5
 
+#: A feature is chosen if it is in so many toxic rows of the sample, and a share of them at least, and
+#: its chi-squared (one degree of freedom) is far above chance for the number of words tried.
+LEAST_ROWS, LEAST_SHARE, LEAST_CHI = 5, 0.02, 30.0
+
+_PREFIXES = (3, 4, 5, 6, 7, 8)
+_WHOLE = np.uint64(0x5851F42D4C957F2D)
 _SENTENCE_END = class_table(b".!?\n", False)
 _ASCII_UPPER, _ASCII_LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _OFFENDING = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
@@ -40,26 +47,43 @@ ADDED = {"toxicity": "double", "offending": "array<struct<start:bigint,end:bigin
 
 @dataclass(frozen=True)
 class Model:
-    """A sentence is toxic with probability sigmoid(bias + weights of its words); a document is, unless
-    all its sentences are not and the leak (labels with no sentence to blame) is not at work."""
+    """A sentence is toxic with probability sigmoid(bias + weights of its features); a document is,
+    unless all its sentences are not and the leak (labels with no sentence to blame) is not at work.
+
+    A feature is a word, written with a space after it, or the first 3 to 8 characters of a word,
+    for the languages whose words take endings.
+    """
 
-    words: list[str]
+    features: list[str]
     weights: np.ndarray
     bias: float
     leak: float
 
-    def table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes of the words in order, their weights, and bytes with start and end of each."""
-        data, cuts = text_bytes(pa.array(self.words, pa.string()))
+    def table(self) -> Features:
+        data, cuts = text_bytes(pa.array([f.rstrip(" ") for f in self.features], pa.string()))
         pieces = np.stack([cuts[:-1], cuts[1:]], axis=1)
-        hashes = run_hashes(data, cuts[:-1], cuts[1:])
+        whole = np.array([f.endswith(" ") for f in self.features], bool)
+        hashes = run_hashes(data, cuts[:-1], cuts[1:]) ^ np.where(whole, _WHOLE, np.uint64(0))
         order = np.argsort(hashes)
-        return hashes[order], np.asarray(self.weights)[order], data, pieces[order]
+        seen = np.zeros(1 << 16, bool)
+        seen[(hashes & np.uint64(0xFFFF)).astype(np.int64)] = True
+        return Features(hashes[order], seen, data, pieces[order], np.asarray(self.weights)[order])
+
+
+@dataclass(frozen=True)
+class Features:
+    """A model's features sorted by hash; ``seen`` marks the low bits of the hashes."""
+
+    hashes: np.ndarray
+    seen: np.ndarray
+    data: np.ndarray
+    pieces: np.ndarray
+    weights: np.ndarray
 
 
-def _sentences(data: np.ndarray, cuts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Sentences with a word: first word, document; then word starts and ends, each word's sentence, and
-    its place among ``hashes`` (or -1)."""
+def _sentences(data: np.ndarray, cuts: np.ndarray, table: Features) -> tuple[np.ndarray, ...]:
+    """Sentences with a word: first word and document of each; starts and ends of words; and the
+    distinct pairs of a sentence and a feature in it."""
     low = LOWER[data]
     starts, ends, first = runs(WORD[low], cuts)
     breaks = np.cumsum(_SENTENCE_END[data])
@@ -68,45 +92,48 @@ def _sentences(data: np.ndarray, cuts: np.ndarray, hashes: np.ndarray) -> tuple[
     new = np.ones(len(starts), bool)
     new[1:] = (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])
     head = np.flatnonzero(new)
-    word_hash = run_hashes(low, starts, ends)
-    place = np.full(len(starts), -1)
-    if len(hashes) and len(starts):
-        at = np.minimum(np.searchsorted(hashes, word_hash), len(hashes) - 1)
-        place = np.where(hashes[at] == word_hash, at, -1)
-    return head, doc[head], starts, ends, np.cumsum(new) - 1, place
-
-
-def _same_word(low: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, pieces: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """``place`` with -1 where a word has the hash, but not the bytes."""
-    place = place.copy()
-    for k in np.flatnonzero(place >= 0):
-        a, b = pieces[place[k]]
-        if bytes(low[starts[k] : ends[k]]) != bytes(data[a:b]):
-            place[k] = -1
-    return place
+    sentence = np.cumsum(new) - 1
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    char = np.searchsorted(chars, starts)
+    chars = np.concatenate([chars, np.full(max(_PREFIXES) + 1, len(data))])
+    n = len(table.hashes)
+    pairs = [np.zeros(0, np.int64)]
+    for size in (None, *_PREFIXES) if n else ():
+        stop = ends if size is None else chars[char + size]
+        words = np.flatnonzero(stop <= ends)
+        hashes = run_hashes(low, starts[words], stop[words])
+        if size is None:
+            hashes = hashes ^ _WHOLE
+        maybe = np.flatnonzero(table.seen[(hashes & np.uint64(0xFFFF)).astype(np.int64)])
+        place = np.minimum(np.searchsorted(table.hashes, hashes[maybe]), n - 1)
+        hit = table.hashes[place] == hashes[maybe]
+        words, place = words[maybe[hit]], place[hit]
+        pieces = np.stack([starts, stop], axis=1)
+        same = same_pieces(low, pieces, words, table.data, table.pieces, place)
+        pairs.append(sentence[words[same]] * n + place[same])
+    pairs = np.unique(np.concatenate(pairs))
+    return head, doc[head], starts, ends, pairs // max(1, n), pairs % max(1, n)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
-def _training_rows(words: list[str], text: str):
-    """Of each row: how many sentences have no known word, and the others' words."""
-    table = Model(words, np.arange(len(words)), 0, 0).table
+def _training_rows(features: list[str], text: str):
+    """Of each row: how many sentences have no feature, and the others' features."""
+    table = Model(features, np.arange(len(features)), 0, 0).table
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, number, _, _ = table()
+        known = table()
         for rows, data, cuts in sliced(batches, text):
-            head, doc, _, _, sentence, place = _sentences(data, cuts, hashes)
-            known = place >= 0
-            pairs = np.unique(sentence[known] * len(words) + number[place[known]].astype(np.int64))
-            in_sentence, word = pairs // len(words), pairs % len(words)
-            touched = np.unique(in_sentence)
+            head, doc, _, _, sentence, place = _sentences(data, cuts, known)
+            number = known.weights[place].astype(np.int64)
+            touched = np.unique(sentence)
             plain = np.bincount(doc, minlength=rows.num_rows) - np.bincount(doc[touched], minlength=rows.num_rows)
             lists: list[list[int]] = [[] for _ in range(rows.num_rows)]
             last = None
-            for s, w in zip(in_sentence.tolist(), word.tolist(), strict=True):
-                lists[doc[s]] += [w] if s == last else [-1, w]  # -1 opens a sentence
+            for s, f in zip(sentence.tolist(), number.tolist(), strict=True):
+                lists[doc[s]] += [f] if s == last else [-1, f]  # -1 opens a sentence
                 last = s
             toxic = rows.column(rows.schema.get_field_index("toxic"))
             yield pa.RecordBatch.from_arrays(
@@ -116,7 +143,7 @@ def _training_rows(words: list[str], text: str):
     return run
 
 
-def _fit_weights(rows: list[tuple[int, int, list[int]]], n_words: int) -> tuple[np.ndarray, float, float]:
+def _fit_weights(rows: list[tuple[int, int, list[int]]], n_features: int) -> tuple[np.ndarray, float, float]:
     """Adam on the likelihood of the documents' labels under the noisy-or with a leak."""
     y = np.array([r[0] for r in rows], float)
     plain = np.array([r[1] for r in rows], float)
@@ -126,7 +153,7 @@ def _fit_weights(rows: list[tuple[int, int, list[int]]], n_words: int) -> tuple[
     doc = owner[opens]  # of each sentence with known words
     sentence = (np.cumsum(opens) - 1)[~opens]
     word = flat[~opens]
-    value = np.concatenate([np.zeros(n_words), [-6.0, -4.0]])  # weights, bias, leak
+    value = np.concatenate([np.zeros(n_features), [-6.0, -4.0]])  # weights, bias, leak
     mean, square = np.zeros_like(value), np.zeros_like(value)
     for step in range(1, STEPS + 1):
         weights, bias, leak = value[:-2], value[-2], _sigmoid(value[-1])
@@ -138,7 +165,7 @@ def _fit_weights(rows: list[tuple[int, int, list[int]]], n_words: int) -> tuple[
         by_z = -p * slope[doc]
         grad = np.concatenate(
             [
-                np.bincount(word, by_z[sentence], minlength=n_words) + DECAY * weights,
+                np.bincount(word, by_z[sentence], minlength=n_features) + DECAY * weights,
                 [by_z.sum() - p0 * (slope * plain).sum(), -leak * slope.sum()],
             ]
         )
@@ -148,6 +175,10 @@ def _fit_weights(rows: list[tuple[int, int, list[int]]], n_words: int) -> tuple[
     return value[:-2], float(value[-2]), float(_sigmoid(value[-1]))
 
 
+def _beginnings(words: Column, n: int) -> Column:
+    return F.transform(F.filter(words, lambda w: F.length(w) >= n), lambda w: F.substring(w, 1, n))
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -163,10 +194,10 @@ def fit(
 
     ``held_out`` is a condition on ``labels`` whose rows are not learned from. Of the other labelled
     rows about ``sample_rows`` are drawn by a hash of the id, without texts of over
-    ``sample_text_bytes``; a bounded sample is broadcast as ids and comes back as word numbers. The
-    words are those whose presence most raises a label's odds in the sample (chi-squared). Null
+    ``sample_text_bytes``; a bounded sample is broadcast as ids and comes back as feature numbers. The
+    features are those whose presence most raises a label's odds in the sample (chi-squared). Null
     labels and ids are left out; of repeated labels of an id the highest counts. Without rows of
-    both labels nothing can be learned: no words, and the leak is the rate of label 1.
+    both labels nothing can be learned: no features, and the leak is the rate of label 1.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     if held_out is not None:
@@ -184,15 +215,20 @@ def fit(
     if not ones or not zeros:
         return Model([], np.zeros(0), -35.0, ones / (ones + zeros) if ones + zeros else 0.0)
     parts = F.split(F.translate("text", _ASCII_UPPER, _ASCII_LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    words = sample.select("toxic", F.explode(F.array_distinct(parts)).alias("word")).where("word <> ''")
+    words = F.filter(F.array_distinct(parts), lambda w: w != "")
+    beginnings = [_beginnings(words, n) for n in _PREFIXES]
+    features = F.array_distinct(F.concat(F.transform(words, lambda w: F.concat(w, F.lit(" "))), *beginnings))
+    words = sample.select("toxic", F.explode(features).alias("word"))
     a, b = F.col("ones") * 1.0, F.col("zeros") * 1.0
     margin = (a + b) * (F.lit(float(ones + zeros)) - a - b) * float(ones) * float(zeros)
-    chi = (a * zeros - b * ones) * F.abs(a * zeros - b * ones) / F.greatest(margin, F.lit(1.0))
+    lean = a * zeros - b * ones  # above zero: label 1 is likelier with the feature
+    chi = lean * F.abs(lean) * float(ones + zeros) / F.greatest(margin, F.lit(1.0))
     best = (
         words.groupBy("word")
         .agg(F.sum("toxic").alias("ones"), F.sum(1 - F.col("toxic")).alias("zeros"))
+        .where(F.col("ones") >= max(LEAST_ROWS, LEAST_SHARE * ones))
         .select("word", chi.alias("chi"))
-        .where("chi > 0")
+        .where(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "word")
         .limit(vocabulary)
     )
@@ -213,16 +249,12 @@ def score(docs: DataFrame, model: Model, text: str = "text", offending_from: flo
     shared = docs.sparkSession.sparkContext.broadcast((model.table(), model.bias, model.leak))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (hashes, weights, bytes_, pieces), bias, leak = shared.value
+        table, bias, leak = shared.value
         quiet = float(np.log1p(-_sigmoid(bias)))
         for rows, data, cuts in sliced(batches, text):
-            head, doc, starts, ends, sentence, place = _sentences(data, cuts, hashes)
-            place = _same_word(LOWER[data], starts, ends, bytes_, pieces, place)
-            known = np.flatnonzero(place >= 0)
-            pairs = np.unique(sentence[known] * max(1, len(hashes)) + place[known])
-            owner, word = pairs // max(1, len(hashes)), pairs % max(1, len(hashes))
+            head, doc, starts, ends, owner, feature = _sentences(data, cuts, table)
             touched, back = np.unique(owner, return_inverse=True)
-            p = _sigmoid(bias + np.bincount(back, weights[word], minlength=len(touched)))
+            p = _sigmoid(bias + np.bincount(back, table.weights[feature], minlength=len(touched)))
             clean = np.log1p(-leak) + quiet * np.bincount(doc, minlength=rows.num_rows)
             clean += np.bincount(doc[touched], np.log1p(-p) - quiet, minlength=rows.num_rows)
             offending: list[list[dict]] = [[] for _ in range(rows.num_rows)]
