@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, packing, simhash, toxicity
+from meshfeed.llm import decontaminate, language, packing, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,14 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = language.fit(docs, held_out=remainder("doc_id", 5) == 0)
+    found = language.identify(docs.select("doc_id", "text"), model)
+    held_out = (remainder("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", F.col("lang_score").alias("score"))
+
+
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"),
@@ -92,6 +100,7 @@ from d left join words using (doc_id) left join found using (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_toxicity_scores": toxicity_scores,
+        "op4_language_identification": language_identification,
         "op5_best_fit_packing": best_fit_packing,
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
