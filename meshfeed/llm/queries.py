@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, language, packing, simhash, toxicity
+from meshfeed.llm import decontaminate, language, packing, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,27 @@ def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits, "component_id")
 
 
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"), scale=64)
+    return topk.top_k(vectors, F.col("id") % 20 == 0, k=20)
+
+
+TOP_K_SQL = """
+with v as (
+  select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as v
+  from embeddings
+  where vec_id is not null and embedding is not null
+    and not list_contains([x is not null and isfinite(x) for x in embedding], false)),
+scores as (
+  select q.vec_id as query_id, c.vec_id as vec_id,
+    cast(list_sum([p[1] * p[2] for p in list_zip(q.v, c.v)]) as bigint) as score
+  from v as q join v as c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v))
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scores)
+where rank <= 20
+"""
+
+
 def remainder(column: str, divisor: int):
     """crc32 of an id's text, modulo; rows of one remainder are held out of a fit. A null id: null."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
@@ -99,6 +120,7 @@ from d left join words using (doc_id) left join found using (doc_id)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_exact_top_k": exact_top_k,
         "op2_toxicity_scores": toxicity_scores,
         "op4_language_identification": language_identification,
         "op5_best_fit_packing": best_fit_packing,
@@ -109,5 +131,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_exact_top_k": TOP_K_SQL,
         "op8_benchmark_decontamination": DECONTAMINATION_SQL,
     }
