@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, language, packing, simhash, topk, toxicity
+from meshfeed.llm import decontaminate, extraction, language, packing, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,13 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    found = extraction.extract(pages, extraction.fit(pages))
+    text = F.col("main_text")
+    return found.select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+
+
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs.select("doc_id", "text"), bench, window=10)
@@ -124,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_toxicity_scores": toxicity_scores,
         "op4_language_identification": language_identification,
         "op5_best_fit_packing": best_fit_packing,
+        "op7_html_main_text": html_main_text,
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
     }
