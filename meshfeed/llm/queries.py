@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, extraction, language, packing, simhash, topk, toxicity
+from meshfeed.llm import decontaminate, extraction, language, packing, pii, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,17 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    counts = [
+        F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS[:4]
+    ]
+    base = F.sha2(pii.span_list("base_spans"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, pii.span_list("pii_spans").alias("spans"))
+
+
 def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     model = language.fit(docs, held_out=remainder("doc_id", 5) == 0)
@@ -129,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": exact_top_k,
         "op2_toxicity_scores": toxicity_scores,
+        "op3_personal_data": personal_data,
         "op4_language_identification": language_identification,
         "op5_best_fit_packing": best_fit_packing,
         "op7_html_main_text": html_main_text,
