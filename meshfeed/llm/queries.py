@@ -8,13 +8,32 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, extraction, language, packing, pii, simhash, topk, toxicity
+from meshfeed.llm import decontaminate, extraction, language, licenses, packing, pii, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licenses.scan(docs, licenses.build_index(docs))
+    base = F.transform("base_places", lambda p: p["label"])
+    own = F.transform("license_matches", lambda m: m["label"])
+    starts = F.transform("base_places", lambda p: p["start"])
+    best = F.array_max(F.transform("license_matches", lambda m: m["share"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        licenses.joined(base).alias("base_labels"),
+        licenses.joined(F.concat(base, own)).alias("labels"),
+        F.when(F.size("base_places") > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
 def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, radius=2)
     digits = F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint")
@@ -145,6 +164,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": best_fit_packing,
         "op7_html_main_text": html_main_text,
         "op8_benchmark_decontamination": benchmark_decontamination,
+        "op9_license_scan": license_scan,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
     }
 
