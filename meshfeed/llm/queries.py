@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, extraction, language, licenses, packing, pii, simhash, topk, toxicity
+from meshfeed.llm import decontaminate, extraction, language, licenses, packing, pii, sharding, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,6 +111,32 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SHARD_BYTES = 1 << 20
+
+
+def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("long").alias("bytes"))
+    return sharding.assign(docs, "bytes", SHARD_BYTES)
+
+
+SHARDING_SQL = f"""
+with d as (
+  select doc_id, cast(strlen(text) as bigint) as bytes, coalesce(cast(strlen(text) as bigint), 0) as size,
+    cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), 'null')), 1, 11) as bigint) as hash
+  from documents),
+levels as (
+  select d.doc_id, d.bytes, d.hash, l.depth, d.hash >> (44 - l.depth) as bucket,
+    sum(d.size) over w as shard_bytes, count(*) over w as shard_rows
+  from d, unnest(range(0, 45)) as l(depth) where d.size <= {SHARD_BYTES}
+  window w as (partition by l.depth, d.hash >> (44 - l.depth))),
+best as (
+  select *, row_number() over (partition by doc_id order by depth) as n from levels where shard_bytes <= {SHARD_BYTES})
+select doc_id, bytes, 's' || right(lpad(bin(bucket), 64, '0'), cast(depth as integer)) as shard_id,
+  cast(depth as integer) as depth, cast(shard_bytes as bigint) as shard_bytes, shard_rows, false as oversize
+from best where n = 1
+"""
+
+
 def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     found = extraction.extract(pages, extraction.fit(pages))
@@ -162,6 +188,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_personal_data": personal_data,
         "op4_language_identification": language_identification,
         "op5_best_fit_packing": best_fit_packing,
+        "op6_extendible_sharding": extendible_sharding,
         "op7_html_main_text": html_main_text,
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op9_license_scan": license_scan,
@@ -172,5 +199,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_top_k": TOP_K_SQL,
+        "op6_extendible_sharding": SHARDING_SQL,
         "op8_benchmark_decontamination": DECONTAMINATION_SQL,
     }
