@@ -104,12 +104,13 @@ def _join_up(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 def _linked(home: np.ndarray, met: np.ndarray, radius: int, inner: bool) -> tuple[np.ndarray, np.ndarray]:
     """Links of ``home`` with ``met`` (and within, if ``inner``) as a spanning forest."""
     values = np.concatenate([home, met])
+    bits = values.view(np.uint64)  # of a signed number numpy counts the bits of its absolute value
     labels = np.arange(len(values))
-    against = values if inner else met
+    against = bits if inner else bits[len(home) :]
     shift = 0 if inner else len(home)
     step = max(1, _PAIRS // max(1, len(against)))
     for k in range(0, len(home), step):
-        near = np.bitwise_count(home[k : k + step, None] ^ against[None, :]) <= radius
+        near = np.bitwise_count(bits[k : min(k + step, len(home)), None] ^ against[None, :]) <= radius
         i, j = np.nonzero(near)
         _join_up(labels, i + k, j + shift)
     moved = np.flatnonzero(labels != np.arange(len(values)))
