@@ -24,7 +24,7 @@ from meshfeed.catalog import standins  # noqa: E402
 from meshfeed.plans import location_events, router_score, site_alert  # noqa: E402
 from meshfeed.session import build_session  # noqa: E402
 from meshfeed.sinks.messages import delivery_check  # noqa: E402
-from meshfeed.streaming.ingest import gather_partitions  # noqa: E402
+from meshfeed.streaming.ingest import rebalanced  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 
@@ -101,8 +101,8 @@ def main() -> None:
             "location_records": (events, lambda: location_events.location_records(events)),
             "location_gathered": (
                 events,
-                lambda: gather_partitions(
-                    location_events.location_records(events), location_events.PARTITION_BY, 16
+                lambda: rebalanced(
+                    location_events.location_records(events), location_events.PARTITION_BY
                 ),
             ),
         }

@@ -9,19 +9,23 @@ from __future__ import annotations
 import argparse
 import json
 from collections.abc import Sequence
-from datetime import date
+from contextlib import ExitStack
+from datetime import UTC, datetime
+from functools import reduce
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
+from meshfeed.functions.payload import string_schema
 from meshfeed.plans import activation, location_events, router_score, site_alert
 from meshfeed.plans.job import Feed
-from meshfeed.session import build_session, stage
-from meshfeed.sinks.archive import move_to_archive
-from meshfeed.sinks.documents import array_messages, write_json_array
+from meshfeed.session import build_session, staged
+from meshfeed.sinks.archive import move_to_archive, require_free
+from meshfeed.sinks.documents import write_json_array
 from meshfeed.sources import dated
 from meshfeed.sources.tables import read_csv
 from meshfeed.sources.topics import Topic, stream_topic
-from meshfeed.streaming.ingest import run_until_stopped, start_json_sink
+from meshfeed.streaming.ingest import run_until_stopped, start_json_batches, start_json_sink
 
 
 def topic(text: str) -> Topic:
@@ -29,10 +33,14 @@ def topic(text: str) -> Topic:
 
 
 def _publish(spark: SparkSession, feed: Feed, check: bool) -> None:
-    if check:
-        feed.run_checked(spark).show(truncate=False)
-    else:
+    """A check that finds a message missing or unreadable fails the job."""
+    if not check:
         feed.run(spark)
+        return
+    report = feed.run_checked(spark)
+    report.show(truncate=False)
+    if report.where("missing > 0 or unreadable > 0").count():
+        raise SystemExit("messages are missing or unreadable")
 
 
 def router_scores(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -51,44 +59,59 @@ def router_scores(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def activations(spark: SparkSession, args: argparse.Namespace) -> None:
     path = dated.dated_path(args.root, args.run_date, args.days_back, args.name)
-    step = activation.low_score_feed
-    if args.trial_order:
+    # both spellings of the date columns are about; a name that is not there changes nothing
+    renamed = {**activation.RENAMED, **activation.TRIAL_RENAMED}
 
-        def step(df):
-            return activation.trial_feed(df, args.trial_order)
+    def step(df: DataFrame) -> DataFrame:
+        if args.trial_order:
+            return activation.trial_feed(df, args.trial_order, renamed=renamed)
+        return activation.low_score_feed(df, renamed=renamed)
 
-    feed = Feed(lambda session: read_csv(session, path, infer=True), [step], args.topic)
+    schema = StructType.fromDDL(args.schema) if args.schema else None
+    feed = Feed(
+        lambda session: read_csv(session, path, schema=schema, infer=schema is None), [step], args.topic
+    )
     _publish(spark, feed, args.check)
 
 
 def site_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
+    if not args.document and not args.topic:
+        raise SystemExit("site-alert needs --document or --topic")
+    if args.document and args.archive:
+        require_free(spark, args.document)
     path = dated.dated_path(args.root, args.run_date, args.days_back, args.name)
-    records = site_alert.site_alert_records(read_csv(spark, path, nested=True), args.link_prefix)
-    order = site_alert.REPORT_ORDER
-    if args.document and args.topic:
-        records = stage(records, "report")
-    if args.document:
-        write_json_array(records, args.document, order)
-    if args.topic:
-        feed = Feed(lambda _: records, [lambda df: array_messages(df, order)], args.topic)
-        _publish(spark, feed, args.check)
+    schema = string_schema(args.columns.split(",")) if args.columns else site_alert.SITE_SCHEMA
+    records = site_alert.site_alert_records(
+        read_csv(spark, path, schema=schema, nested=True), args.link_prefix
+    )
+    with ExitStack() as tables:
+        if args.document and args.topic:
+            records = tables.enter_context(staged(records, "report"))
+        if args.document:
+            order = site_alert.REPORT_ORDER if args.sort else ()
+            write_json_array(records, args.document, order)
+        if args.topic:
+            messages = tables.enter_context(site_alert.site_alert_messages(records, args.form))
+            _publish(spark, Feed(lambda _: messages, [], args.topic), args.check)
     if args.document and args.archive:
         print(move_to_archive(spark, args.document))
 
 
-def _ingest(spark: SparkSession, args: argparse.Namespace, decode, **layout) -> None:
-    query = start_json_sink(
-        decode(stream_topic(spark, args.topic[0])),
+def _ingest(spark: SparkSession, args: argparse.Namespace, decode, start, **layout) -> None:
+    messages = reduce(DataFrame.unionByName, [stream_topic(spark, t) for t in args.topic])
+    query = start(
+        decode(messages, corrupt_column=args.corrupt_column),
         args.out,
         args.checkpoint,
         interval=None if args.once else args.interval,
+        max_records_per_file=args.max_records_per_file,
         **layout,
     )
     run_until_stopped(query)
 
 
 def score_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    _ingest(spark, args, router_score.score_records)
+    _ingest(spark, args, router_score.score_records, start_json_batches)
 
 
 def location_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -96,9 +119,10 @@ def location_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         spark,
         args,
         location_events.location_records,
+        start_json_batches if args.batch_folders else start_json_sink,
         partition_by=location_events.PARTITION_BY,
         compression=location_events.COMPRESSION,
-        gather=args.gather,
+        rebalance=args.backlog,
     )
 
 
@@ -109,16 +133,23 @@ def parser() -> argparse.ArgumentParser:
     def job(name: str, run, days_back: int | None = None) -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
-        sub.add_argument("--topic", type=topic, action="append", default=[])
+        sub.add_argument(
+            "--topic", type=topic, action="append", default=[], required=name != "site-alert"
+        )
+        sub.add_argument(
+            "--shuffle-partitions", type=int, help="about the bytes shuffled divided by 128 MB"
+        )
         if days_back is not None:
             sub.add_argument("--root", required=True, help="folder that holds the dated input")
-            sub.add_argument("--run-date", default=date.today().isoformat())
+            sub.add_argument("--run-date", default=datetime.now(UTC).date().isoformat())
             sub.add_argument("--days-back", type=int, default=days_back)
             sub.add_argument("--check", action="store_true", help="read the topics back")
         else:
             sub.add_argument("--out", required=True)
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--once", action="store_true", help="stop when all is read")
+            sub.add_argument("--corrupt-column", help="keep malformed messages in this column")
+            sub.add_argument("--max-records-per-file", type=int, default=5_000_000)
         return sub
 
     sub = job("router-score", router_scores, 1)
@@ -127,12 +158,18 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("activation", activations, activation.DAYS_BACK)
     sub.add_argument("--name", default="{day}", help="input name, with {day}")
+    sub.add_argument("--schema", help="column types as DDL; else they are inferred in a second read")
     sub.add_argument("--trial-order", nargs="+", help="send two rows only, first by these columns")
 
     sub = job("site-alert", site_alerts, 1)
     sub.add_argument("--name", default="{day}", help="input name, with {day}")
     sub.add_argument("--link-prefix", required=True)
     sub.add_argument("--document", help="folder for the report as one JSON array")
+    sub.add_argument("--sort", action="store_true", help="sort the document")
+    sub.add_argument("--columns", help="names of all columns in order, if not the usual ones")
+    sub.add_argument(
+        "--form", choices=sorted(site_alert.FORMS), default="records", help="messages of the report"
+    )
     sub.add_argument("--archive", action="store_true", help="then move the document to archive/")
 
     sub = job("score-ingest", score_ingest)
@@ -140,13 +177,17 @@ def parser() -> argparse.ArgumentParser:
 
     sub = job("location-ingest", location_ingest)
     sub.add_argument("--interval", default=location_events.INTERVAL)
-    sub.add_argument("--gather", type=int, help="most files per hour and batch, for a backlog")
+    sub.add_argument(
+        "--backlog", action="store_true", help="bring each hour together, split by size"
+    )
+    sub.add_argument("--batch-folders", action="store_true", help="one folder for each batch")
     return top
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(f"meshfeed-{args.job}"), args)
+    spark = build_session(f"meshfeed-{args.job}", shuffle_partitions=args.shuffle_partitions)
+    args.run(spark, args)
 
 
 if __name__ == "__main__":

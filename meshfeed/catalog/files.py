@@ -41,6 +41,11 @@ def csv_recursive_scan(spark, sf_dir):
     return read_csv(spark, folder, nested=True)
 
 
+def _by_day(df):
+    """Each day in few files."""
+    return df.hint("rebalance", "day")
+
+
 def _daily_events(spark, sf_dir):
     return table(spark, sf_dir, "events").select(
         "event_id", "user_id", "value", F.col("ts").cast("date").alias("day")
@@ -53,7 +58,7 @@ def _daily_events(spark, sf_dir):
 def date_window_scan(spark, sf_dir):
     folder = shared_folder(spark, "csv-days")
     events = _daily_events(spark, sf_dir)
-    events.write.option("header", "true").partitionBy("day").csv(folder)
+    _by_day(events).write.option("header", "true").partitionBy("day").csv(folder)
     return dated.in_window(read_csv(spark, folder, schema=events.schema), "day", _TARGET)
 
 
@@ -64,11 +69,25 @@ def date_window_paths(spark, sf_dir):
     """The same window as a list of paths, one for each day."""
     folder = shared_folder(spark, "csv-days")
     events = _daily_events(spark, sf_dir)
-    events.write.option("header", "true").partitionBy("day").csv(folder)
+    _by_day(events).write.option("header", "true").partitionBy("day").csv(folder)
     schema = events.drop("day").schema
     return dated.read_csv_window(spark, folder, _TARGET, name="day={day}", schema=schema)
 
 
+@query("""
+    select event_id, user_id, value from events
+    where cast(ts as date) in (date '2024-01-13', date '2024-01-14', date '2024-01-16')""")
+def date_window_gaps(spark, sf_dir):
+    """A window of day folders of which one is not there."""
+    folder = shared_folder(spark, "csv-days")
+    events = _daily_events(spark, sf_dir).filter("day <> '2024-01-15'")
+    _by_day(events).write.option("header", "true").partitionBy("day").csv(folder)
+    schema = events.drop("day").schema
+    return dated.read_csv_window(
+        spark, folder, _TARGET, name="day={day}", schema=schema, allow_missing=True
+    )
+
+
 @query("select * from events where cast(ts as date) = date '2024-01-15'")
 def dated_input(spark, sf_dir):
     return dated.on_day(table(spark, sf_dir, "events"), "ts", _TARGET)
@@ -78,7 +97,7 @@ def dated_input(spark, sf_dir):
     select event_id, user_id, value from events where cast(ts as date) = date '2024-01-09'""")
 def dated_directory(spark, sf_dir):
     folder = shared_folder(spark, "days")
-    _daily_events(spark, sf_dir).write.partitionBy("day").parquet(folder)
+    _by_day(_daily_events(spark, sf_dir)).write.partitionBy("day").parquet(folder)
     path = dated.dated_path(folder, _TARGET, activation.DAYS_BACK, "day={day}")
     return spark.read.parquet(path)
 

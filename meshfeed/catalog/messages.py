@@ -11,10 +11,15 @@ from meshfeed.catalog.registry import query, table
 from meshfeed.functions.payload import json_object
 from meshfeed.operators.columns import encode_rows
 from meshfeed.plans.job import Feed
-from meshfeed.session import shared_folder
+from meshfeed.session import shared_folder, stage
 from meshfeed.sinks.archive import move_to_archive
-from meshfeed.sinks.documents import array_messages, write_json_array, write_json_records
-from meshfeed.sinks.messages import delivery_check, publish
+from meshfeed.sinks.documents import (
+    array_messages,
+    document_message,
+    write_json_array,
+    write_json_records,
+)
+from meshfeed.sinks.messages import delivery_check, message_counts, publish
 from meshfeed.sources.tables import read_whole_files
 from meshfeed.sources.topics import folder_topic, read_topic
 
@@ -67,6 +72,22 @@ def publish_readback_check(spark, sf_dir):
     return Feed(_customers(sf_dir), [encode_rows], [topic]).run_checked(spark)
 
 
+@query("""
+    select count(*) as sent, count(*) filter (c_mktsegment <> 'BUILDING') as received,
+      count(*) filter (c_mktsegment = 'BUILDING') as missing, cast(0 as bigint) as unexpected,
+      cast(0 as bigint) as unreadable
+    from customer""")
+def delivery_on_used_topic(spark, sf_dir):
+    """The topic held the same texts, and damaged ones, before; one segment of today's was lost."""
+    customers = table(spark, sf_dir, "customer")
+    topic = folder_topic(shared_folder(spark, "topic"))
+    publish(encode_rows(customers), topic)
+    publish(customers.select(F.lit("{").alias("value")), topic)
+    before = stage(message_counts(read_topic(spark, topic)), "before")
+    publish(encode_rows(customers.filter("c_mktsegment <> 'BUILDING'")), topic)
+    return delivery_check(encode_rows(customers), read_topic(spark, topic), before)
+
+
 @query("""
     select
       count(*) as sent,
@@ -117,6 +138,20 @@ def json_document(spark, sf_dir):
     return spark.read.text(folder)
 
 
+@query(f"""
+    select {_ORDERS_JSON} as "value", count(*) over () + 2 as lines from orders""")
+def json_document_unsorted(spark, sf_dir):
+    """The document without a sort: its records, and how many lines it has."""
+    folder = shared_folder(spark, "document")
+    write_json_array(_orders(spark, sf_dir), folder)
+    lines = spark.read.text(folder)
+    count = lines.agg(F.count("*").alias("lines"))
+    records = lines.filter("value not in ('[', ']')").select(
+        F.regexp_replace("value", "^,", "").alias("value")
+    )
+    return records.withColumn("lines", count.scalar())
+
+
 @query(f'select {_ORDERS_JSON} as "value" from orders')
 def json_records(spark, sf_dir):
     folder = shared_folder(spark, "records")
@@ -136,6 +171,33 @@ def archived_document(spark, sf_dir):
 def document_messages(spark, sf_dir):
     """A document sent as array messages of bounded length; their records."""
     topic = folder_topic(shared_folder(spark, "topic"))
-    publish(array_messages(_orders(spark, sf_dir), ["o_orderkey"]), topic)
+    with array_messages(_orders(spark, sf_dir), ["o_orderkey"]) as messages:
+        publish(messages, topic)
     arrays = F.from_json("value", "array<string>")
     return read_topic(spark, topic).select(F.explode(arrays).alias("record"))
+
+
+@query(f"""
+    select '[' || string_agg(record, ',' order by n) || ']' as "value" from (
+      select {_ORDERS_JSON} as record, row_number() over (order by o_orderkey) - 1 as n
+      from orders)
+    group by n // 700""")
+def document_arrays(spark, sf_dir):
+    """The array messages themselves: cut by the record's number over the whole table."""
+    topic = folder_topic(shared_folder(spark, "topic"))
+    with array_messages(_orders(spark, sf_dir), ["o_orderkey"], 700) as messages:
+        publish(messages, topic)
+    return read_topic(spark, topic)
+
+
+@query(f"""
+    select '[' || string_agg(record, ',' order by n_nationkey) || ']' as "value" from (
+      select n_nationkey, cast(to_json(struct_pack(
+        n_nationkey := n_nationkey, n_name := n_name, n_regionkey := n_regionkey)) as varchar) as record
+      from nation)""")
+def document_in_one_message(spark, sf_dir):
+    topic = folder_topic(shared_folder(spark, "topic"))
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    with document_message(nations, ["n_nationkey"]) as message:
+        publish(message, topic)
+    return read_topic(spark, topic)

@@ -16,12 +16,17 @@ from meshfeed.operators.columns import decode_messages, encode_rows
 from meshfeed.plans import location_events, router_score
 from meshfeed.session import shared_folder
 from meshfeed.sources.topics import MESSAGE_SCHEMA, Topic, folder_topic, stream_topic
-from meshfeed.streaming.ingest import archive_options, run_available, start_json_sink
+from meshfeed.streaming.ingest import (
+    archive_options,
+    run_available,
+    start_json_batches,
+    start_json_sink,
+)
 
 
-def _score_ingest(spark, topic, out, checkpoint):
+def _score_ingest(spark, topic, out, checkpoint, start=start_json_batches):
     stream = router_score.score_records(stream_topic(spark, topic))
-    run_available(start_json_sink(stream, out, checkpoint, interval=None))
+    run_available(start(stream, out, checkpoint, interval=None))
 
 
 @query(EVENT_MESSAGES_SQL)
@@ -29,10 +34,29 @@ def stream_decode_to_json(spark, sf_dir):
     topic = folder_topic(shared_folder(spark, "topic"))
     event_messages(spark, sf_dir).write.text(topic.options["path"])
     out = shared_folder(spark, "scores")
-    _score_ingest(spark, topic, out, shared_folder(spark, "progress"))
+    _score_ingest(spark, topic, out, shared_folder(spark, "progress"), start_json_sink)
     return spark.read.schema(router_score.MESSAGE_SCHEMA).json(out)
 
 
+@query(f"""
+    select origin, * exclude (origin) from (
+      select 'one' as origin, * from ({EVENT_MESSAGES_SQL})
+      union all select 'two' as origin, * from ({EVENT_MESSAGES_SQL}))""")
+def stream_two_topics(spark, sf_dir):
+    """Two topics into one sink; each message says where it came from."""
+    streams = []
+    for name in ("one", "two"):
+        topic = folder_topic(shared_folder(spark, name))
+        event_messages(spark, sf_dir).write.text(topic.options["path"])
+        records = router_score.score_records(stream_topic(spark, topic))
+        streams.append(records.withColumn("origin", F.lit(name)))
+    out = shared_folder(spark, "scores")
+    both = streams[0].unionByName(streams[1])
+    run_available(start_json_batches(both, out, shared_folder(spark, "progress"), interval=None))
+    schema = T.StructType([*router_score.MESSAGE_SCHEMA, T.StructField("origin", T.StringType())])
+    return spark.read.schema(schema).json(out).drop("batch")
+
+
 def _location_ingest(spark, sf_dir, **layout):
     topic = folder_topic(shared_folder(spark, "topic"))
     location_messages(spark, sf_dir).write.text(topic.options["path"])
@@ -49,13 +73,18 @@ def _location_ingest(spark, sf_dir, **layout):
 
 @query(LOCATION_SQL)
 def stream_partitioned_json(spark, sf_dir):
-    return _location_ingest(spark, sf_dir, partition_by=location_events.PARTITION_BY)
+    """A backlog over all days and hours: each hour is brought together, then written."""
+    return _location_ingest(
+        spark, sf_dir, partition_by=location_events.PARTITION_BY, rebalance=True
+    )
 
 
 @query(LOCATION_SQL)
 def stream_backlog_json(spark, sf_dir):
-    """All days at once, so rows are gathered by day, at most four files each."""
-    return _location_ingest(spark, sf_dir, partition_by=("date",), gather=4)
+    """All days at once, so rows are brought together by day, and a large day is split by size."""
+    return _location_ingest(
+        spark, sf_dir, partition_by=("date",), rebalance=True, max_records_per_file=1_000_000
+    )
 
 
 @query(EVENT_MESSAGES_SQL)
@@ -69,7 +98,7 @@ def stream_restart(spark, sf_dir):
         arriving.write.mode("append").text(topic.options["path"])
         _score_ingest(spark, topic, out, checkpoint)
     _score_ingest(spark, topic, out, checkpoint)
-    return spark.read.schema(router_score.MESSAGE_SCHEMA).json(out)
+    return spark.read.schema(router_score.MESSAGE_SCHEMA).json(out).drop("batch")
 
 
 _ARCHIVE_SCHEMA = T.StructType(

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from meshfeed.sinks.messages import delivery_check, fan_out
+from meshfeed.session import hadoop_path, staged
+from meshfeed.sinks.messages import delivery_check, fan_out, message_counts
 from meshfeed.sources.topics import Topic, read_topic
 
 Step = Callable[[DataFrame], DataFrame]
+REPORT = ("sent", "received", "missing", "unexpected", "unreadable")
 
 
 @dataclass(frozen=True)
@@ -33,23 +34,54 @@ class Feed:
             df = df.transform(step)
         return df
 
-    def run(self, spark: SparkSession, keep: bool = False) -> DataFrame:
-        """Publish to every topic; returns the messages, from a staged table if ``keep``.
+    def run(self, spark: SparkSession) -> None:
+        """Publish to every topic; a feed without topics is an error.
 
         A preview computes the feed once more, so there is none unless asked for.
         """
+        self._send(self._previewed(spark))
+
+    def run_checked(self, spark: SparkSession) -> DataFrame:
+        """Publish, then compare what was sent with what each topic got in this run, one row per
+        topic in their order; see :func:`delivery_check` for the counts.
+
+        What a topic held before is counted before anything is sent, so a check reads the topic's
+        retention twice. Messages that others send meanwhile count as unexpected.
+        """
+        if not self.topics:
+            raise ValueError("the feed has no topic")
+        reports = []
+        with ExitStack() as tables:
+            known = [
+                tables.enter_context(staged(message_counts(read_topic(spark, topic)), "before"))
+                if self._exists(spark, topic)
+                else None
+                for topic in self.topics
+            ]
+            sent = tables.enter_context(staged(self._previewed(spark), "sent"))
+            self._send(sent)
+            for number, (topic, old) in enumerate(zip(self.topics, known, strict=True)):
+                row = delivery_check(sent, read_topic(spark, topic), old).first()
+                reports.append((*row, number))
+        kinds = ", ".join([*(f"{n} bigint" for n in REPORT), "topic int"])
+        return spark.createDataFrame(reports, kinds)
+
+    def _previewed(self, spark: SparkSession) -> DataFrame:
         df = self.messages(spark)
         if self.preview_rows:
             df.printSchema()
             df.show(self.preview_rows, truncate=False)
-        return fan_out(df, self.topics, keep)
+        return df
 
-    def run_checked(self, spark: SparkSession) -> DataFrame:
-        """Publish, then compare what was sent with what each topic holds, one row per topic
-        in their order; see :func:`delivery_check` for the counts."""
-        sent = self.run(spark, keep=True)
-        reports = [
-            delivery_check(sent, read_topic(spark, topic)).withColumn("topic", F.lit(number))
-            for number, topic in enumerate(self.topics)
-        ]
-        return reduce(DataFrame.unionByName, reports)
+    def _send(self, df: DataFrame) -> None:
+        if not self.topics:
+            raise ValueError("the feed has no topic")
+        fan_out(df, self.topics)
+
+    @staticmethod
+    def _exists(spark: SparkSession, topic: Topic) -> bool:
+        """A folder that stands in for a topic may not be there before the first message."""
+        if "path" not in topic.options:
+            return True
+        files, path = hadoop_path(spark, topic.options["path"])
+        return files.exists(path)

@@ -22,9 +22,10 @@ COMPRESSION = "gzip"
 INTERVAL = "60 seconds"
 
 
-def location_records(messages: DataFrame) -> DataFrame:
-    """Event messages, batch or stream, as rows with coordinates, date and hour."""
-    events = epoch_parts(decode_messages(messages, EVENT_SCHEMA), "timestamp")
+def location_records(messages: DataFrame, corrupt_column: str | None = None) -> DataFrame:
+    """Event messages, batch or stream, as rows with coordinates, date and hour. Malformed messages
+    are rows of nulls, kept as text in ``corrupt_column`` if that is named."""
+    events = epoch_parts(decode_messages(messages, EVENT_SCHEMA, corrupt_column), "timestamp")
     events = events.withColumns(
         {
             "latitude": map_value("location", "latitude"),

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
@@ -16,7 +17,7 @@ from meshfeed.operators.columns import (
     rename_columns,
 )
 from meshfeed.operators.rows import flag_then_project
-from meshfeed.sinks.documents import array_lines, array_messages, write_json_array
+from meshfeed.sinks.documents import array_messages, document_message, write_json_array
 
 # Columns of the site table and of the report.
 KEYS = ("enodeb", "day", "event_day", "site", "region", "abnormal_kpi")
@@ -68,26 +69,24 @@ def site_alert_report(df: DataFrame, link_prefix: str, **choices) -> DataFrame:
     return encode_rows(site_alert_records(df, link_prefix, **choices), keep_nulls=True)
 
 
-def site_alert_document(
-    df: DataFrame, link_prefix: str, order_by: Sequence[str] = REPORT_ORDER, **choices
-) -> DataFrame:
-    """The lines of the whole report as one JSON array."""
-    return array_lines(site_alert_records(df, link_prefix, **choices), order_by)
+#: How the report can be sent. The choice is the caller's; none depends on the report's size.
+FORMS = {"records": None, "arrays": array_messages, "document": document_message}
 
 
+@contextmanager
 def site_alert_messages(
-    df: DataFrame,
-    link_prefix: str,
-    order_by: Sequence[str] = REPORT_ORDER,
-    records_per_message: int = 1000,
-    **choices,
-) -> DataFrame:
-    """The report as JSON array messages, a single one if there are few records."""
-    records = site_alert_records(df, link_prefix, **choices)
-    return array_messages(records, order_by, records_per_message)
+    records: DataFrame, form: str, order_by: Sequence[str] = REPORT_ORDER, **limits
+) -> Iterator[DataFrame]:
+    """Report records as messages for as long as the block runs: ``records`` one each, ``arrays`` in order
+    and of bounded length, or ``document`` all in one."""
+    if FORMS[form] is None:
+        yield encode_rows(records, keep_nulls=True)
+    else:
+        with FORMS[form](records, order_by, **limits) as messages:
+            yield messages
 
 
 def write_site_alert_document(
-    df: DataFrame, path: str, link_prefix: str, order_by: Sequence[str] = REPORT_ORDER, **choices
+    df: DataFrame, path: str, link_prefix: str, order_by: Sequence[str] = (), **choices
 ) -> None:
     write_json_array(site_alert_records(df, link_prefix, **choices), path, order_by)

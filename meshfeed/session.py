@@ -4,14 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# hour() and to_date() follow the session zone; all feeds are defined in UTC
+ZONE = {"spark.sql.session.timeZone": "UTC"}
+
+#: Set only where the user has set nothing.
 SETTINGS = {
-    # hour() and to_date() follow the session zone; all feeds are defined in UTC
-    "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     # size shuffle partitions by bytes, not by the number of free cores
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
@@ -36,12 +39,17 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    merged = {**SETTINGS, **(settings or {})}
+    asked = {**ZONE, **(settings or {})}
     if shuffle_partitions:
-        merged["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    for key, value in merged.items():
+        asked["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in asked.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in SETTINGS.items():
+        if key not in asked and not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
 
 
 @cache
@@ -70,3 +78,23 @@ def stage(df: DataFrame, purpose: str) -> DataFrame:
     folder = shared_folder(df.sparkSession, purpose)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system that holds ``path``, and the path in it. PySpark has no other way to move or
+    delete files of any file system; it needs a classic session, not Spark Connect."""
+    goal = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return goal.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), goal
+
+
+@contextmanager
+def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """``df`` as a written table for as long as the block runs; the files are deleted after it,
+    also if it fails. What reads the table must be done by then."""
+    folder = shared_folder(df.sparkSession, purpose)
+    try:
+        df.write.parquet(folder)
+        yield df.sparkSession.read.schema(df.schema).parquet(folder)
+    finally:
+        files, path = hadoop_path(df.sparkSession, folder)
+        files.delete(path, True)

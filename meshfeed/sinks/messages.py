@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meshfeed.functions.payload import named
-from meshfeed.session import stage
+from meshfeed.session import staged
 from meshfeed.sources.topics import Topic
 
 
@@ -18,47 +18,63 @@ def publish(df: DataFrame, topic: Topic) -> None:
     messages.write.format(topic.format).options(**topic.options).mode("append").save()
 
 
-def fan_out(df: DataFrame, topics: Sequence[Topic], keep: bool = False) -> DataFrame:
-    """Send the same messages to several topics; returns the messages.
+def fan_out(df: DataFrame, topics: Sequence[Topic]) -> None:
+    """Send the same messages to several topics.
 
-    For more than one topic they are computed once and staged as a table. A cache would be lost
-    with its executor and computed anew between two targets. ``keep`` stages them for one topic
-    too, for when the result is read again, as a delivery check does.
+    For more than one topic they are computed once and staged as a table until all are sent. A
+    cache would be lost with its executor and computed anew between two targets.
     """
     messages = df.select(named("value"))
-    if keep or len(topics) > 1:
-        messages = stage(messages, "fan-out")
-    for topic in topics:
-        publish(messages, topic)
-    return messages
+    if len(topics) == 1:
+        publish(messages, topics[0])
+    elif topics:
+        with staged(messages, "fan-out") as table:
+            for topic in topics:
+                publish(table, topic)
 
 
-def delivery_check(sent: DataFrame, received: DataFrame) -> DataFrame:
-    """Compare all messages sent with all received, copies counted; one row of counts.
+def message_counts(messages: DataFrame) -> DataFrame:
+    """``digest``, ``messages``, ``unreadable`` of each different message: how often it is there, and how
+    often it is not JSON. A null and an empty message are different; both count as readable or
+    not as JSON has it, null as readable."""
+    value = named("value")
+    digest = F.when(value.isNull(), F.unhex(F.lit("00"))).otherwise(F.unhex(F.sha2(value, 256)))
+    broken = F.when(value.isNotNull() & F.try_parse_json(value).isNull(), 1).otherwise(0)
+    return (
+        messages.select(digest.alias("digest"), broken.cast("bigint").alias("broken"))
+        .groupBy("digest")
+        .agg(F.count("*").alias("messages"), F.sum("broken").alias("unreadable"))
+    )
+
+
+def delivery_check(
+    sent: DataFrame, received: DataFrame, before: DataFrame | None = None
+) -> DataFrame:
+    """Compare all messages sent with those received, copies counted; one row of counts.
 
     ``missing`` and ``unexpected`` count messages that only one side has, ``unreadable`` those
-    received that are not JSON. Both sides are reduced to counts per SHA-256 digest before they
-    meet, so message texts are not shuffled and a message with many copies is one row.
+    received that are not JSON. ``before`` is what the topic held before this run, as
+    :func:`message_counts`: it is taken off, so neither can an older copy stand for a lost message
+    nor is an older message unexpected. All sides are reduced to counts per SHA-256 digest before
+    they meet, so message texts are not shuffled and a message with many copies is one row.
     """
-    digest = F.unhex(F.sha2(F.coalesce(named("value"), F.lit("")), 256))
-    unreadable = F.when(
-        named("value").isNotNull() & F.try_parse_json(named("value")).isNull(), 1
-    ).otherwise(0)
     zero = F.lit(0).cast("bigint")
-    one = F.lit(1).cast("bigint")
-    marked_sent = sent.select(
-        digest.alias("digest"), one.alias("out"), zero.alias("back"), zero.alias("broken")
-    )
-    marked_received = received.select(
-        digest.alias("digest"),
-        zero.alias("out"),
-        one.alias("back"),
-        unreadable.cast("bigint").alias("broken"),
-    )
-    per_message = (
-        marked_sent.unionByName(marked_received)
-        .groupBy("digest")
-        .agg(*[F.sum(count).alias(count) for count in ("out", "back", "broken")])
+
+    def side(counts: DataFrame, out, back) -> DataFrame:
+        broken = back * F.col("unreadable")
+        return counts.select(
+            "digest",
+            (out * F.col("messages")).alias("out"),
+            (back * F.col("messages")).alias("back"),
+            broken.alias("broken"),
+        )
+
+    sides = side(message_counts(sent), F.lit(1), F.lit(0))
+    sides = sides.unionByName(side(message_counts(received), F.lit(0), F.lit(1)))
+    if before is not None:
+        sides = sides.unionByName(side(before, F.lit(0), F.lit(-1)))
+    per_message = sides.groupBy("digest").agg(
+        *[F.greatest(F.sum(count), zero).alias(count) for count in ("out", "back", "broken")]
     )
 
     def total(column):

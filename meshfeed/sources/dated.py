@@ -74,17 +74,16 @@ def read_csv_window(
     schema: T.StructType | None = None,
     allow_missing: bool = False,
 ) -> DataFrame:
-    """One CSV file per day of the window, file names made from ``name``.
+    """One CSV file or folder per day of the window, names made from ``name``.
 
-    A missing file is an error, unless ``allow_missing``: then the files are matched by a name
-    pattern and whichever are there are read.
+    A missing day is an error, unless ``allow_missing``: then the days are matched by one path
+    pattern, and whichever are there are read; that there is none at all stays an error.
     """
     days = window_days(target, days_before)
     target_day = day_before(target, 0)
     if allow_missing:
         any_day = "{" + ",".join(days) + "}"
-        return read_csv(
-            spark, root, schema=schema, glob=name.format(target=target_day, day=any_day)
-        )
+        found = f"{root.rstrip('/')}/{name.format(target=target_day, day=any_day)}"
+        return read_csv(spark, found, schema=schema)
     paths = [f"{root.rstrip('/')}/{name.format(target=target_day, day=d)}" for d in days]
     return read_csv(spark, *paths, schema=schema)

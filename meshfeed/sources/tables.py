@@ -42,7 +42,10 @@ def read_csv(
 
 
 def read_whole_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """One row per file: column ``value`` holds the file's whole content as text."""
+    """One row per file: column ``value`` holds the file's whole content as text.
+
+    A file is one row in one task, so one of over 2 GB, the most a row can hold, is an error.
+    """
     reader = spark.read.format("binaryFile")
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)

@@ -8,6 +8,7 @@ import pytest
 from meshfeed.__main__ import main
 from meshfeed.plans import router_score as rs
 from meshfeed.plans import site_alert
+from meshfeed.plans.job import Feed
 from tests.test_activation import HEADER, line
 from tests.test_router_score import SCHEMA, router
 from tests.test_site_alert import document, site, write
@@ -53,6 +54,42 @@ def test_activation_to_two_topics(tmp_path, job):
     assert sent(tmp_path / "one") == sent(tmp_path / "two")
     job(*common, *when, "--topic", topic(tmp_path / "trial"), "--trial-order", "id")
     assert [m["id"] for m in sent(tmp_path / "trial")] == [1, 2]
+    assert all("outage_date_1" in m for m in sent(tmp_path / "trial"))
+    text = ", ".join(f"{n} string" for n in HEADER.split(",")).replace("AVG_SCORE_1_3 string", "AVG_SCORE_1_3 double")
+    job(*common, *when, "--topic", topic(tmp_path / "typed"), "--schema", text)
+    assert [m["id"] for m in sent(tmp_path / "typed")] == ["1"]
+
+
+def test_a_failed_check_fails_the_job(spark, tmp_path, job, monkeypatch):
+    rows = [router("a", [["CR1000A"]])]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "in" / "2024-01-04"))
+    common = ("router-score", "--root", tmp_path / "in", "--run-date", "2024-01-05", "--check")
+    job(*common, "--topic", topic(tmp_path / "t"))
+    monkeypatch.setattr(Feed, "_send", lambda self, df: None)  # nothing arrives
+    with pytest.raises(SystemExit, match="missing"):
+        job(*common, "--topic", topic(tmp_path / "t"))
+
+
+def test_a_job_without_topics_is_a_usage_error(tmp_path, job):
+    for name in ("router-score", "activation"):
+        with pytest.raises(SystemExit):
+            job(name, "--root", tmp_path)
+    for name in ("score-ingest", "location-ingest"):
+        with pytest.raises(SystemExit):
+            job(name, "--out", tmp_path / "o", "--checkpoint", tmp_path / "c")
+    with pytest.raises(SystemExit, match="needs"):
+        job("site-alert", "--root", tmp_path, "--link-prefix", "x")
+
+
+def test_the_archive_is_checked_before_anything_is_sent(tmp_path, job):
+    write(tmp_path / "in" / "2024-01-01" / "a.csv", [site("1")])
+    (tmp_path / "archive" / "report").mkdir(parents=True)
+    with pytest.raises(FileExistsError):
+        job(
+            "site-alert", "--root", tmp_path / "in", "--run-date", "2024-01-02", "--link-prefix", "x",
+            "--document", tmp_path / "report", "--topic", topic(tmp_path / "topic"), "--archive",
+        )
+    assert not (tmp_path / "topic").exists()
 
 
 def test_site_alert_document_is_sent_and_archived(spark, tmp_path, job):
@@ -60,7 +97,7 @@ def test_site_alert_document_is_sent_and_archived(spark, tmp_path, job):
     job(
         "site-alert", "--root", tmp_path / "in", "--name", "{day}_sites", "--run-date", "2024-01-02",
         "--link-prefix", "https://reports.example.org/", "--document", tmp_path / "report",
-        "--topic", topic(tmp_path / "topic"), "--archive",
+        "--topic", topic(tmp_path / "topic"), "--archive", "--form", "document",
     )
     assert not (tmp_path / "report").exists()
     (written,) = json.loads(document(tmp_path / "archive" / "report"))
@@ -74,13 +111,13 @@ def test_ingest_jobs(spark, tmp_path, job):
         (tmp_path / name / "a").write_text("".join(t + "\n" for t in lines))
     common = ("--once", "--checkpoint")
     job(
-        "score-ingest", "--topic", topic(tmp_path / "scores"), "--out", tmp_path / "o1",
-        *common, tmp_path / "c1",
+        "score-ingest", "--topic", topic(tmp_path / "scores"), "--topic", topic(tmp_path / "events"),
+        "--out", tmp_path / "o1", *common, tmp_path / "c1",
     )
-    assert spark.read.text(str(tmp_path / "o1")).count() == len(SCORES)
+    assert spark.read.text(str(tmp_path / "o1")).count() == len(SCORES) + len(EVENTS)
     job(
         "location-ingest", "--topic", topic(tmp_path / "events"), "--out", tmp_path / "o2",
-        *common, tmp_path / "c2", "--gather", "1",
+        *common, tmp_path / "c2", "--backlog",
     )
     files = list((tmp_path / "o2").glob("date=2024-01-01/hour=0/*.json.gz"))
     assert [json.loads(t)["eventType"] for f in files for t in gzip.open(f, "rt")] == [1, 1]

@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from meshfeed import catalog
 from tests import oracle
 
 DUCK_TYPES = {
@@ -13,8 +14,8 @@ DUCK_TYPES = {
     "timestamp_ntz": "TIMESTAMP",
 }
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = catalog.queries()
+SQL = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -1,13 +1,19 @@
 import json
+from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 from meshfeed.operators.columns import encode_rows
 from meshfeed.plans.job import Feed
+from meshfeed.session import staged
 from meshfeed.sinks.archive import archive_path, move_to_archive
-from meshfeed.sinks.documents import array_lines, array_messages, write_json_records
-from meshfeed.sinks.messages import delivery_check, fan_out, publish
+from meshfeed.sinks.documents import (
+    array_messages,
+    document_message,
+    write_json_array,
+    write_json_records,
+)
+from meshfeed.sinks.messages import delivery_check, fan_out, message_counts, publish
 from meshfeed.sources.topics import Topic, folder_topic, read_topic
 
 
@@ -83,8 +89,8 @@ def test_feed_runs_steps_in_order_and_checks(spark, tmp_path):
     sent = sorted(r.value for r in read_topic(spark, topic).collect())
     assert sent == ['{"n":1}', '{"n":2}', '{"n":3}']
     report = feed.run_checked(spark).first()
-    assert (report.topic, report.sent, report.missing) == (0, 3, 0)
-    assert report.unexpected == 3  # those of the first run
+    assert (report.topic, report.sent, report.received, report.missing) == (0, 3, 3, 0)
+    assert report.unexpected == 0  # those of the first run are not of this one
 
 
 def test_feed_without_steps_passes_rows(spark):
@@ -124,41 +130,120 @@ def test_move_to_archive(spark, tmp_path):
         move_to_archive(spark, str(tmp_path / "absent"))
 
 
+def sent_arrays(df, order_by, **limits):
+    with array_messages(df, order_by, **limits) as messages:
+        return [json.loads(r.value) for r in messages.collect()]
+
+
 def test_small_document_is_one_message(spark):
     df = spark.createDataFrame([(3, None), (1, "a"), (2, "b")], "n int, s string").repartition(3)
-    (message,) = array_messages(df, ["n"]).collect()
-    assert json.loads(message.value) == [{"n": 1, "s": "a"}, {"n": 2, "s": "b"}, {"n": 3, "s": None}]
+    want = [{"n": 1, "s": "a"}, {"n": 2, "s": "b"}, {"n": 3, "s": None}]
+    assert sent_arrays(df, ["n"]) == [want]
+    with document_message(df, ["n"]) as message:
+        assert [json.loads(r.value) for r in message.collect()] == [want]
 
 
 def test_empty_document_is_an_empty_array(spark):
     none = spark.range(3).filter("id > 5")
-    assert [r.value for r in array_messages(none, ["id"]).collect()] == ["[]"]
+    assert sent_arrays(none, ["id"]) == [[]]
+    with document_message(none, ["id"]) as message:
+        assert [r.value for r in message.collect()] == ["[]"]
 
 
-def test_large_document_is_messages_of_consecutive_records(spark):
+@pytest.mark.parametrize("parts", ["1", "64"])
+@pytest.mark.parametrize("merge", ["true", "false"])
+def test_messages_do_not_depend_on_the_layout(spark, merge, parts):
     df = spark.range(0, 1050, 1, 7).selectExpr("id", "1 as same").repartition(5)
-    arrays = [json.loads(r.value) for r in array_messages(df, ["id"], records_per_message=100).collect()]
-    assert all(0 < len(a) <= 100 for a in arrays)
-    assert all([r["id"] for r in a] == list(range(a[0]["id"], a[0]["id"] + len(a))) for a in arrays)
-    assert sorted(r["id"] for a in arrays for r in a) == list(range(1050))
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.enabled": merge,
+        "spark.sql.shuffle.partitions": parts,
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        arrays = sent_arrays(df, ["id"], records_per_message=100)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    want = [[{"id": n, "same": 1} for n in range(k, min(k + 100, 1050))] for k in range(0, 1050, 100)]
+    assert sorted(arrays, key=lambda a: a[0]["id"]) == want
+
+
+def test_messages_are_bounded_by_bytes(spark):
+    df = spark.createDataFrame([(n, "ü" * (n % 7) * 10) for n in range(60)], "n int, s string")
+    with array_messages(df, ["n"], records_per_message=25, bytes_per_message=400) as messages:
+        texts = [r.value for r in messages.collect()]
+    assert max(len(t.encode()) for t in texts) <= 400
+    arrays = sorted((json.loads(t) for t in texts), key=lambda a: a[0]["n"])
+    assert [r["n"] for a in arrays for r in a] == list(range(60))
+    assert all(a[0]["n"] // 25 == a[-1]["n"] // 25 for a in arrays)
+    with pytest.raises(Exception, match="over the bytes of a message"):
+        sent_arrays(df, ["n"], bytes_per_message=60)
+    with pytest.raises(ValueError, match="a message at most 400"):
+        with document_message(df, ["n"], bytes_per_message=400):
+            pass
 
 
 def test_equal_records_all_stay_in_messages(spark):
     df = spark.range(0, 500, 1, 4).selectExpr("1 as same")
-    arrays = [json.loads(r.value) for r in array_messages(df, ["same"], records_per_message=60).collect()]
-    assert sum(len(a) for a in arrays) == 500 and max(len(a) for a in arrays) <= 60
+    arrays = sent_arrays(df, ["same"], records_per_message=60)
+    assert sorted(len(a) for a in arrays) == [20] + [60] * 8
 
 
-def test_one_key_does_not_pile_up_in_one_task(spark):
+def test_one_key_does_not_pile_up_in_one_task(spark, tmp_path):
     """Every row has the same sort key, and half of them are copies of one row."""
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(key, "false")
     try:
         df = spark.range(0, 4000, 1, 8).selectExpr("1 as same", "if(id < 2000, 0, id) as n")
-        per_task = array_lines(df, ["same"]).groupBy(F.spark_partition_id()).count().collect()
-        arrays = [json.loads(r.value) for r in array_messages(df, ["same"]).collect()]
+        write_json_array(df, str(tmp_path / "d"), ["same"])
+        sizes = [len(p.read_text().splitlines()) for p in (tmp_path / "d").glob("part-*")]
+        arrays = sent_arrays(df, ["same"])
     finally:
         spark.conf.unset(key)
-    assert sum(r["count"] for r in per_task) == 4002
-    assert max(r["count"] for r in per_task) < 2000
-    assert sum(len(a) for a in arrays) == 4000 and max(len(a) for a in arrays) <= 1000
+    assert sum(sizes) == 4002 and max(sizes) < 2000
+    assert sorted(len(a) for a in arrays) == [1000] * 4
+
+
+@pytest.mark.parametrize("rows", [0, 1, 1000])
+@pytest.mark.parametrize("order", [[], ["id"]])
+def test_document_is_valid_json(spark, tmp_path, rows, order):
+    write_json_array(spark.range(0, rows, 1, 5), str(tmp_path / "d"), order)
+    parsed = json.loads("".join(p.read_text() for p in sorted((tmp_path / "d").glob("part-*"))))
+    assert sorted(r["id"] for r in parsed) == list(range(rows))
+
+
+def test_staged_tables_are_removed(spark, tmp_path):
+    root = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(root.iterdir())
+    topics = [folder_topic(str(tmp_path / n)) for n in ("one", "two")]
+    feed = Feed(lambda session: messages(session, '{"a":1}', '{"b":2}'), [], topics)
+    feed.run(spark)
+    report = feed.run_checked(spark).collect()
+    assert [(r.topic, r.sent, r.received, r.missing, r.unexpected) for r in report] == [
+        (0, 2, 2, 0, 0),
+        (1, 2, 2, 0, 0),
+    ]
+    sent_arrays(spark.range(5), ["id"])
+    write_json_array(spark.range(5), str(tmp_path / "d"))
+    with pytest.raises(Exception, match="no-such-connector"):
+        fan_out(messages(spark, "a"), [Topic("no-such-connector")] * 2)
+    assert set(root.iterdir()) == before
+
+
+def test_check_counts_this_run_only(spark, tmp_path):
+    topic = folder_topic(str(tmp_path / "t"), "parquet")
+    publish(messages(spark, "x", "", None, "old"), topic)
+    with staged(message_counts(read_topic(spark, topic)), "before") as held:
+        publish(messages(spark, None), topic)
+        row = delivery_check(messages(spark, "x", "", None), read_topic(spark, topic), held).first()
+    assert (row.sent, row.received, row.missing, row.unexpected) == (3, 1, 2, 0)
+
+
+def test_feed_without_topics_is_an_error(spark):
+    feed = Feed(lambda session: messages(session, "a"))
+    with pytest.raises(ValueError, match="no topic"):
+        feed.run(spark)
+    with pytest.raises(ValueError, match="no topic"):
+        feed.run_checked(spark)

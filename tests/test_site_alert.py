@@ -111,12 +111,18 @@ def document(folder):
 
 def test_document_is_one_json_array_in_order(sites, tmp_path):
     target = tmp_path / "report"
-    sa.write_site_alert_document(sites.repartition(4), str(target), LINK)
+    sa.write_site_alert_document(sites.repartition(4), str(target), LINK, sa.REPORT_ORDER)
     parsed = json.loads(document(target))
     assert [r["enodeb"] for r in parsed] == ["1", "2", "6", "7"]
     assert parsed[0]["region"] == "N" and parsed[1]["region"] is None
 
 
+def test_document_without_an_order_has_all_records(sites, tmp_path):
+    sa.write_site_alert_document(sites.repartition(4), str(tmp_path / "report"), LINK)
+    parsed = json.loads(document(tmp_path / "report"))
+    assert sorted(r["enodeb"] for r in parsed) == ["1", "2", "6", "7"]
+
+
 def test_document_replaces_the_one_before(sites, tmp_path):
     target = tmp_path / "report"
     sa.write_site_alert_document(sites, str(target), LINK)

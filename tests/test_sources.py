@@ -53,6 +53,22 @@ def test_csv_window_with_a_missing_day(spark, tmp_path):
     assert days_read(df) == ["2024-01-01", "2024-01-04"]
 
 
+def test_csv_window_of_day_folders(spark, tmp_path):
+    for day in ("2024-01-01", "2024-01-04", "2024-01-05"):
+        (tmp_path / f"day={day}").mkdir()
+        (tmp_path / f"day={day}" / "part.csv").write_text(f"text,n\n{day},1\n")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        dated.read_csv_window(spark, str(tmp_path), "2024-01-04", name="day={day}")
+    df = dated.read_csv_window(
+        spark, str(tmp_path), "2024-01-04", name="day={day}", allow_missing=True
+    )
+    assert sorted(r.text for r in df.collect()) == ["2024-01-01", "2024-01-04"]
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        dated.read_csv_window(
+            spark, str(tmp_path), "2023-01-04", name="day={day}", allow_missing=True
+        )
+
+
 @pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "string"])
 def test_window_and_day_by_column_type(spark, kind):
     days = [f"2024-01-0{n}" for n in range(1, 8)]

@@ -1,5 +1,8 @@
 import gzip
 import json
+import os
+import signal
+import threading
 
 import pytest
 
@@ -7,9 +10,10 @@ from meshfeed.plans import location_events, router_score
 from meshfeed.sources.topics import Topic, folder_topic, read_topic, stream_topic
 from meshfeed.streaming.ingest import (
     archive_options,
-    gather_partitions,
+    rebalanced,
     run_available,
     run_until_stopped,
+    start_json_batches,
     start_json_sink,
 )
 
@@ -130,8 +134,8 @@ def test_location_records(spark, tmp_path):
     assert found[None].date is None
 
 
-@pytest.mark.parametrize("gather", [None, 2])
-def test_partitioned_gzip_files(spark, tmp_path, gather):
+@pytest.mark.parametrize("rebalance", [False, True])
+def test_partitioned_gzip_files(spark, tmp_path, rebalance):
     topic = inbox(tmp_path, "a", EVENTS)
     stream = location_events.location_records(stream_topic(spark, topic))
     query = start_json_sink(
@@ -141,7 +145,7 @@ def test_partitioned_gzip_files(spark, tmp_path, gather):
         interval=None,
         partition_by=location_events.PARTITION_BY,
         compression=location_events.COMPRESSION,
-        gather=gather,
+        rebalance=rebalance,
     )
     run_available(query, timeout=120)
     files = sorted((tmp_path / "out").glob("date=*/hour=*/part-*.json.gz"))
@@ -157,28 +161,70 @@ def test_partitioned_gzip_files(spark, tmp_path, gather):
     assert all("date" not in b and "hour" not in b for b in body)
 
 
-@pytest.fixture
-def uncoalesced(spark):
-    """Adaptive execution would merge shuffle partitions as small as those of a test."""
-    key = "spark.sql.adaptive.coalescePartitions.enabled"
-    spark.conf.set(key, "false")
-    yield
-    spark.conf.unset(key)
-
-
-def test_gathering_bounds_the_files_of_a_partition(spark, tmp_path, uncoalesced):
-    """16 tasks, two partitions, one holding nearly everything: at most 4 files each."""
-    df = spark.range(0, 16_000, 1, 16).selectExpr("id", "if(id % 1000 = 0, 'rare', 'hot') as day")
-    gathered = gather_partitions(df, ["day"], 4)
-    assert gathered.columns == df.columns
-    gathered.write.partitionBy("day").json(str(tmp_path / "gathered"))
-    df.write.partitionBy("day").json(str(tmp_path / "plain"))
-    for day in ("hot", "rare"):
-        assert len(list((tmp_path / "plain" / f"day={day}").glob("part-*"))) == 16
-        assert len(list((tmp_path / "gathered" / f"day={day}").glob("part-*"))) <= 4
-    sizes = [len(p.read_text().splitlines()) for p in (tmp_path / "gathered" / "day=hot").glob("part-*")]
-    assert sum(sizes) == 15_984
-    assert len(sizes) > 1 and max(sizes) < 15_984
+def test_rebalance_writes_few_files_and_splits_a_hot_hour(spark, tmp_path):
+    """16 tasks, one day that holds nearly everything: few files for small days, many for that one."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100k")
+    try:
+        df = spark.range(0, 160_000, 1, 16).selectExpr(
+            "id", "if(id % 1000 < 5, concat('rare', id % 1000), 'hot') as day", "id as _writer"
+        )
+        rebalanced(df, ["day"]).write.partitionBy("day").json(str(tmp_path / "gathered"))
+    finally:
+        spark.conf.set(key, before)
+    parts = {d.name: [len(p.read_text().splitlines()) for p in d.glob("part-*")] for d in (tmp_path / "gathered").glob("day=*")}
+    hot = parts.pop("day=hot")
+    assert sum(hot) == 159_200 and len(hot) > 3 and max(hot) < 80_000
+    assert all(sum(p) == 160 for p in parts.values())
+    # 16 tasks would write 16 files each; a day that shares the hot one's bucket may be split with it
+    assert sum(len(p) <= 2 for p in parts.values()) >= 4
+    back = spark.read.json(str(tmp_path / "gathered")).where("_writer <> id").count()
+    assert back == 0
+
+
+def test_batch_folders_hold_each_row_once(spark, tmp_path):
+    topic = inbox(tmp_path, "a.txt", SCORES[:3])
+
+    def ingest_batches():
+        records = router_score.score_records(stream_topic(spark, topic))
+        query = start_json_batches(
+            records, str(tmp_path / "out"), str(tmp_path / "progress"), interval=None
+        )
+        run_available(query, timeout=120)
+
+    ingest_batches()
+    ingest_batches()
+    assert output(spark, tmp_path).count() == 3
+    # the batch was written, but its end was not noted: it runs again, into the same folder
+    for entry in (tmp_path / "progress" / "commits").iterdir():
+        entry.unlink()
+    ingest_batches()
+    assert output(spark, tmp_path).count() == 3
+    inbox(tmp_path, "b.txt", SCORES[3:5])
+    ingest_batches()
+    assert output(spark, tmp_path).count() == 5
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"batch=0", "batch=1"}
+
+
+def test_termination_stops_between_batches(spark, tmp_path):
+    topic = inbox(tmp_path, "a.txt", ['{"serial_num":"1"}'])
+    records = router_score.score_records(stream_topic(spark, topic))
+    query = start_json_batches(
+        records, str(tmp_path / "out"), str(tmp_path / "progress"), interval="1 second"
+    )
+    query.processAllAvailable()
+    timer = threading.Timer(2, lambda: os.kill(os.getpid(), signal.SIGTERM))
+    timer.start()
+    assert run_until_stopped(query, timeout=60) is False
+    assert not query.isActive and query.exception() is None
+    assert output(spark, tmp_path).count() == 1
+
+
+def test_malformed_location_messages_can_be_kept(spark, tmp_path):
+    messages = read_topic(spark, inbox(tmp_path, "a", EVENTS))
+    rows = location_events.location_records(messages, corrupt_column="corrupt").collect()
+    assert [r.corrupt for r in rows if r.corrupt] == ["bad"]
 
 
 def test_consumed_files_move_to_the_archive(spark, tmp_path):
