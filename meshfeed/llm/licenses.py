@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,6 +71,20 @@ def words(text: str) -> Column:
     return F.regexp_extract_all(lower, F.lit(_WORD), 0)
 
 
+_BREAK = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _split(text: Column) -> Column:
+    """The words, and an empty string where the text begins or ends with no word's character."""
+    return F.split(F.coalesce(text, F.lit("")), _BREAK, -1)
+
+
+def _count_words(text: str) -> Column:
+    parts = _split(F.col(text))
+    ends = (F.get(parts, F.lit(0)) == "").cast("int") + (F.element_at(parts, -1) == "").cast("int")
+    return F.greatest(F.size(parts) - ends, F.lit(0)).cast("long")
+
+
 def _list(values: list[str]) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
@@ -82,6 +97,13 @@ class Index:
     postings: tuple[tuple[tuple[str, int], ...], ...]
     idf: dict[str, float]
 
+    def anchors(self) -> list[str]:
+        """Of each phrase that anything is labelled by the longest word; of those the one in most phrases,
+        then the rarest. A text without any of them as a part can have no label."""
+        phrases = [p.split(" ") for p, _ in PHRASES] + [k.split(" ") for t in self.templates for k in t.keys]
+        shared = {w: sum(w in p for p in phrases) for p in phrases for w in p}
+        return sorted({max(p, key=lambda w: (len(w), shared[w], self.idf.get(w, 0.0), w)) for p in phrases})
+
 
 def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> Index:
     """Counts over all documents in how many each word of the templates occurs, and keeps the positions
@@ -91,9 +113,9 @@ def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template,
     texts count as documents without words.
     """
     known = sorted({w for t in templates for w in _words_of(t.text)})
-    counted = docs.select(F.array_distinct(F.array_intersect(words(text), _list(known))).alias("found"))
+    counted = docs.select(F.array_intersect(_split(F.lower(text)), _list(known)).alias("found"))
     total = docs.count()
-    frequency = dict(counted.select(F.explode("found").alias("word")).groupBy("word").count().collect())
+    frequency = dict(counted.select(F.explode_outer("found").alias("word")).groupBy("word").count().collect())
     idf = {w: math.log((total + 1) / (frequency.get(w, 0) + 1)) for w in known}
     postings = []
     for t in templates:
@@ -209,16 +231,19 @@ def scan(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
 
     A file's ``FILE_WORDS`` rarest indexed words vote with all their places for a template and a
     relative position; a template needs half of its indexed words at one position, and its key
-    phrases in their places. Expressions over the row alone: no shuffle, no Python. A null or
-    empty text has no words. Columns of the added names are replaced.
+    phrases in their places. Texts without any of the index's anchors, which every label needs,
+    are only counted. Expressions over the row alone: no shuffle, no Python. A null or empty text
+    has no words. Columns of the added names are replaced.
     """
     docs = without(docs, *ADDED)
-    own, votes, aligned = (fresh(docs, f"license_{n}") for n in ("words", "votes", "aligned"))
+    lower, own, votes, aligned = (fresh(docs, f"license_{n}") for n in ("lower", "words", "votes", "aligned"))
     w = F.col(own)
-    found = docs.withColumn(own, words(text))
+    found = docs.withColumn("n_words", _count_words(text)).withColumn(lower, F.lower(text))
+    possible = reduce(lambda a, b: a | b, [F.col(lower).contains(a) for a in index.anchors()])
+    none = F.array().cast("array<string>")
+    found = found.withColumn(own, F.when(possible, words(text)).otherwise(none)).drop(lower)
     found = found.withColumns(
         {
-            "n_words": F.size(w).cast("long"),
             "base_places": F.array_sort(F.concat(*[_places(w, p, label) for p, label in PHRASES])),
             votes: _votes(w, index),
         }
