@@ -6,7 +6,7 @@ characters can be told byte by byte.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Text bytes that a task holds as numpy arrays at once; a longer text is held alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+
+#: Rows that Spark hands to a task's Python at once, instead of its default of 10,000.
+BATCH_ROWS = 1000
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MASK = (1 << 64) - 1
@@ -104,7 +107,7 @@ def run_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     certain, compare the bytes."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    size = 1 << max(16, int(len(data)).bit_length())
+    size = 1 << max(16, int(len(data) - 1).bit_length())
     up, down = _powers(size)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
@@ -158,6 +161,17 @@ def schema_with(df: DataFrame, **new: str) -> str:
     return ", ".join(f"`{n.replace('`', '``')}` {t}" for n, t in {**kept, **new}.items())
 
 
+def map_texts(
+    df: DataFrame, run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with batches of few rows: a row may hold a long text, and a task holds a batch
+    several times over, in the JVM and in Python. A session that sets the number itself keeps it."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

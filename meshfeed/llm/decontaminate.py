@@ -15,8 +15,9 @@ from meshfeed.llm.arrow_text import (
     WORD,
     gather,
     gather_pieces,
-    run_hashes,
+    map_texts,
     restored,
+    run_hashes,
     runs,
     same_pieces,
     schema_with,
@@ -257,7 +258,7 @@ def find_contamination(
         if before:
             base = stage(base, "decontaminate")
         block = base.sparkSession.sparkContext.broadcast(build_block(rows, window))
-        base = base.mapInArrow(_pass(block, text, before), schema)
+        base = map_texts(base, _pass(block, text, before), schema)
         before = True
     return base
 

@@ -12,7 +12,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshfeed.llm.arrow_text import class_table, schema_with, sliced, text_bytes, with_columns, without
+from meshfeed.llm.arrow_text import (
+    class_table,
+    map_texts,
+    schema_with,
+    sliced,
+    text_bytes,
+    with_columns,
+    without,
+)
 
 #: Rows that the machines are fitted on (about; the same number for each language, drawn by a hash of
 #: the id) and the longest text among them in bytes. They bound what goes to the driver.
@@ -258,4 +266,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 rows, lang_pred=pa.array(predicted, pa.string()), lang_score=pa.array(np.where(letters, score, 0.0))
             )
 
-    return docs.mapInArrow(run, schema_with(docs, **ADDED))
+    return map_texts(docs, run, schema_with(docs, **ADDED))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator, Mapping
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from itertools import chain
 
 import numpy as np
@@ -14,11 +15,19 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meshfeed.llm.arrow_text import fresh, gather, schema_with, sliced, with_columns, without
+from meshfeed.llm.arrow_text import (
+    fresh,
+    gather,
+    map_texts,
+    schema_with,
+    sliced,
+    with_columns,
+    without,
+)
 from meshfeed.session import stage
 
 #: Distinct words whose ids a task keeps from one batch to the next.
-WORD_CACHE = 300_000
+WORD_CACHE = 150_000
 #: Words encoded in one call.
 _WORDS_A_CALL = 400
 
@@ -38,19 +47,28 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str) -> None:
+        # tasks are parallel already, and threads' memory pools add up
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
+        self.path = path
         self.words = Tokenizer.from_file(path)
         self.words.normalizer = None
         self.words.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
-        vocabulary = self.whole.get_vocab()
+        vocabulary = self.words.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.forget()
 
+    @cached_property
+    def whole(self):
+        """The tokenizer as it is."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def forget(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(0, np.uint32)
@@ -136,7 +154,7 @@ def token_pieces(
             )
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
+    return map_texts(slim, run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
 
 
 def plan_bins(counts: Mapping[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:

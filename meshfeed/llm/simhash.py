@@ -11,7 +11,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meshfeed.llm.arrow_text import LOWER, NOT_SPACE, fresh, runs, schema_with, sliced, with_columns, without
+from meshfeed.llm.arrow_text import (
+    LOWER,
+    NOT_SPACE,
+    fresh,
+    map_texts,
+    runs,
+    schema_with,
+    sliced,
+    with_columns,
+    without,
+)
 from meshfeed.llm.components import components
 from meshfeed.session import stage
 
@@ -68,7 +78,7 @@ def add_fingerprint(
         for rows, data, cuts in sliced(batches, text):
             yield with_columns(rows, **{out: pa.array(_fingerprints(data, cuts, shingle_words, seed))})
 
-    return docs.mapInArrow(run, schema_with(docs, **{out: "bigint"}))
+    return map_texts(docs, run, schema_with(docs, **{out: "bigint"}))
 
 
 def _quarter_counts(fingerprint: str) -> list[Column]:

@@ -14,6 +14,7 @@ from meshfeed.llm.arrow_text import (
     LOWER,
     WORD,
     class_table,
+    map_texts,
     restored,
     run_hashes,
     runs,
@@ -233,7 +234,7 @@ def fit(
         .limit(vocabulary)
     )
     chosen = [r.word for r in best.collect()]
-    rows = sample.mapInArrow(_training_rows(chosen, "text"), "toxic int, plain bigint, words array<int>").collect()
+    rows = map_texts(sample, _training_rows(chosen, "text"), "toxic int, plain bigint, words array<int>").collect()
     weights, bias, leak = _fit_weights(rows, len(chosen))
     return Model(chosen, weights, bias, leak)
 
@@ -271,7 +272,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", offending_from: flo
                 offending=pa.array(offending, _OFFENDING),
             )
 
-    return docs.mapInArrow(run, schema_with(docs, **ADDED))
+    return map_texts(docs, run, schema_with(docs, **ADDED))
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.3) -> DataFrame:
