@@ -42,14 +42,14 @@ def _directory(rows: DataFrame, above: int, depth: int, limit: int) -> DataFrame
     fits = buckets.where((F.col("shard_bytes") <= limit) | (F.lit(depth == BITS) & (F.col("level") == depth)))
     best = (
         levels.select("slot", "level", "bucket")
-        .join(fits, ["level", "bucket"])
+        .join(fits.hint("merge"), ["level", "bucket"])
         .groupBy("slot")
         .agg(F.min(F.struct("level", "bucket", "shard_bytes", "shard_rows")).alias("b"))
     )
     best = best.select(
         "slot", F.col("b.level").alias("leaf_depth"), F.col("b.bucket").alias("leaf"), "b.shard_bytes", "b.shard_rows"
     )
-    return stage(slots.select("slot").join(best, "slot", "left"), "directory")
+    return stage(slots.select("slot").join(best.hint("merge"), "slot", "left"), "directory")
 
 
 def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataFrame:
@@ -63,7 +63,8 @@ def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataF
     Sizes are summed for all prefixes a few bits deeper than an even spread needs; what is still too
     large there, a hot key say, is looked at again with more bits. The last bits tell rows of one
     key apart by their place in the stored table, so even a key with most rows is split. Only those
-    may go to another shard in another run. Nothing is collected but whether a round is needed.
+    may go to another shard in another run. Nothing is collected but whether a round is needed, and
+    nothing is broadcast, as the directory grows with the data.
     Empty tables give no rows; columns of the added names are replaced.
     """
     rows = without(rows, *ADDED)
@@ -95,7 +96,7 @@ def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataF
     rest, above = small, 0
     while True:
         directory = _directory(rest, above, depth, limit)
-        joined = rest.withColumn("slot", _prefix("hash", depth)).join(directory, "slot")
+        joined = rest.withColumn("slot", _prefix("hash", depth)).join(directory.hint("merge"), "slot")
         leaf = F.concat(F.lit("s"), bits(F.col("leaf"), F.col("leaf_depth")))
         found = joined.where("leaf is not null")
         done = done.union(out(found, leaf, F.col("leaf_depth"), F.col("shard_bytes"), F.col("shard_rows"), False))
