@@ -42,9 +42,9 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     edges = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    edges = edges.where("a is not null and b is not null")
+    edges = stage(edges.where("a is not null and b is not null").distinct(), "links")
     alone = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
-    edges = stage(edges.where("a <> b").distinct(), "links")
+    edges = edges.where("a <> b")
     last, now = None, _state(edges)
     while now[0] and now != last:
         edges = stage(_small_star(_large_star(edges).distinct()).distinct(), "links")
