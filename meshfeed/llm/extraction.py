@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meshfeed.llm.arrow_text import (
     LOWER,
     WORD,
+    map_texts,
     run_hashes,
     runs,
     schema_with,
@@ -30,7 +31,7 @@ SAMPLE_PAGES, SAMPLE_HTML_BYTES, SAMPLE_BLOCKS = 300, 1 << 16, 200
 MADE_PAGES = 300
 
 WORD_BITS, DIM, HIDDEN, NUMBERS = 10, 8, 16, 4
-STEPS, RATE, BATCH, DECAY = 260, 0.02, 24, 1e-4
+STEPS, RATE, BATCH, DECAY = 450, 0.02, 24, 1e-4
 #: Padded blocks that are labelled at once.
 _AT_ONCE = 20_000
 
@@ -263,11 +264,17 @@ def _renamed(blocks: list[Block], rng: np.random.Generator) -> list[Block]:
     return [replace(b, path=frozenset(swaps.get(i, i) for i in b.path)) for b in blocks]
 
 
+def _reworded(blocks: list[Block], rng: np.random.Generator) -> list[Block]:
+    """The same page with its texts exchanged among its blocks: main text may be a word, a menu long."""
+    order = rng.permutation(len(blocks))
+    return [replace(b, text=blocks[k].text, link_chars=blocks[k].link_chars) for b, k in zip(blocks, order, strict=True)]
+
+
 def train(pages: list[tuple[list[Block], np.ndarray]], seed: int = 5) -> Weights:
     """Adam on the log loss of the blocks of all pages and of made ones."""
     rng = np.random.default_rng(seed)
     examples = [(b, np.asarray(y, float)) for b, y in (_made_page(rng) for _ in range(MADE_PAGES))]
-    examples += pages + [(_renamed(b, rng), y) for b, y in pages]
+    examples += pages + [(_reworded(b, rng), y) for b, y in pages] + [(_renamed(b, rng), y) for b, y in pages]
     w = {n: rng.normal(0, 0.15 if len(s) > 1 else 0.0, s) for n, s in _shapes().items()}
     for d in "fb":
         w[f"c{d}"][HIDDEN : 2 * HIDDEN] = 1.0  # remember at first
@@ -358,4 +365,4 @@ def extract(pages: DataFrame, weights: Weights, html: str = "html") -> DataFrame
             texts = ["\n".join(b.text for b, k in zip(page, keep[a:], strict=False) if k) for page, a in zip(parsed, cuts, strict=False)]
             yield with_columns(rows, main_text=pa.array(texts, pa.string()))
 
-    return pages.mapInArrow(run, schema_with(pages, **ADDED))
+    return map_texts(pages, run, schema_with(pages, **ADDED))

@@ -12,7 +12,7 @@ PATH_BUCKETS = 512
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
+    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|</?[A-Za-z][^>]*\Z",
     re.DOTALL,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)

@@ -107,7 +107,7 @@ class Index:
 
 def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> Index:
     """Counts over all documents in how many each word of the templates occurs, and keeps the positions
-    of each template's ``INDEX_WORDS`` rarest words.
+    of each template's ``INDEX_WORDS`` rarest words that occur at all.
 
     One count for each template word goes to the driver, however many documents there are; null
     texts count as documents without words.
@@ -120,7 +120,8 @@ def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template,
     postings = []
     for t in templates:
         own = _words_of(t.text)
-        rare = sorted(set(own), key=lambda w: (-idf[w], own.index(w)))[:INDEX_WORDS]
+        # a word that no document has cannot be looked up
+        rare = sorted({w for w in own if w in frequency}, key=lambda w: (-idf[w], own.index(w)))[:INDEX_WORDS]
         postings.append(tuple((w, k) for k, w in enumerate(own) if w in rare))
     return Index(templates, tuple(postings), idf)
 
@@ -150,6 +151,9 @@ def _at(words_: Column, i: Column, own: list[str]) -> Column:
 def _votes(words_: Column, index: Index) -> Column:
     """A template, an offset and a word for each posting that one of the file's rarest words meets."""
     known = sorted({w for p in index.postings for w, _ in p}, key=lambda w: (-index.idf[w], w))
+    none = F.array().cast("array<struct<t:int,at:int,k:int>>")
+    if not known:
+        return none
     hits = F.filter(
         F.transform(words_, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(known)
     )
@@ -171,7 +175,6 @@ def _votes(words_: Column, index: Index) -> Column:
             ),
         )
     )
-    none = F.array().cast("array<struct<t:int,at:int,k:int>>")
     return F.when(F.arrays_overlap(words_, _list(known)), F.array_sort(F.array_distinct(votes))).otherwise(none)
 
 

@@ -1,0 +1,101 @@
+import re
+from html import unescape
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from meshfeed.llm import extraction as ex
+from meshfeed.llm.html_blocks import parse
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def weights(spark):
+    return ex.fit(spark.read.parquet(f"{SF}/pages.parquet"))
+
+
+def article(html):
+    inside = re.search(r"<article>(.*?)(</article>|\Z)", html, re.DOTALL)[1]
+    inside = re.sub(r"</?b>", "", inside).replace("<br>", " ")
+    return "\n".join(t for t in (" ".join(unescape(x).split()) for x in re.split(r"<[^>]*>", inside)) if t)
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01"])
+def test_main_text_of_the_tables(spark, weights, sf):
+    pages = spark.read.parquet(f"/root/testdata/sf{sf}/pages.parquet")
+    rows = ex.extract(pages, weights).collect()
+    assert len(rows) == pages.count()
+    assert all(r.main_text == article(r.html) for r in rows)
+
+
+PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body>
+<header><div class="logo">Site</div><nav><ul><li><a href="/">Home</a></li><li><a href="/b">Blog</a></li></ul></nav></header>
+<div class="cookie-notice"><p>We use cookies.</p><button>Accept</button></div>
+<div class="sidebar"><h3>Popular</h3><ul><li><a href="/x">Other story</a></li></ul></div>
+%s
+<div class="comments"><h3>2 comments</h3><p>Nice one, thank you.</p><p>I do not agree at all.</p></div>
+<form class="search"><label>Search</label><input name="q"></form>
+<script>var a = "<p>no</p>";</script>
+<footer><p>&copy; 2024 Site</p></footer></body></html>"""
+BODY = "<h1>A headline</h1><p>First &amp; longer paragraph of the story, with some words in it.</p><p>Second one,\n  also long enough to read.</p>"
+WANT = "A headline\nFirst & longer paragraph of the story, with some words in it.\nSecond one, also long enough to read."
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<main>%s</main>", '<div class="post-content">%s</div>', '<div id="main-content"><div class="article-body">%s</div></div>'])
+def test_other_layouts(spark, weights, around):
+    pages = spark.createDataFrame([(1, PAGE % (around % BODY))], "page_id int, html string")
+    assert ex.extract(pages, weights).first().main_text == WANT
+
+
+def test_edge_cases(spark, weights):
+    texts = [
+        None, "", "   ", "<p>", "<article><p>unclosed <b>bold<p>next &notit; &#x41;&lt;</article", "<!-- only <p>a comment</p>", "<script>alert('x')",
+        "<article>" + "<div>" * 3000 + "deep text is here" + "</div>" * 3000 + "</article>", "<article>" + "<p>a line of text, and more of it.</p>" * 3000 + "</article>",
+        "<a \"'<b>", "<article><p>" + "x" * 300_000 + "</p></article>", "plain text without tags",
+    ]
+    pages = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts)], "page_id int, html string, main_text int")
+    rows = {r.page_id: r.main_text for r in ex.extract(pages, weights).collect()}
+    assert [rows[k] for k in (0, 1, 2, 3, 5, 6)] == [""] * 6
+    assert rows[4] == "unclosed bold\nnext ¬it; A<"
+    assert rows[8].count("\n") == 2999 and len(rows[10]) == 300_000
+    assert ex.extract(pages.limit(0), weights).count() == 0
+
+
+def test_empty_table_gives_a_labeller(spark, weights):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    own = ex.fit(pages.limit(0))
+    rows = ex.extract(pages.limit(20), own).collect()
+    right = [r.main_text == article(r.html) for r in rows]
+    assert np.mean(right) >= 0.8
+
+
+def test_blocks_and_links():
+    blocks = parse('<div class="site-menu"><a href="x">One</a> two</div><p>a<br>b<table><tr><td>c<td>d</table>')
+    assert [(b.text, b.leaf, b.link_chars) for b in blocks] == [("One two", "div", 3), ("a b", "p", 0), ("c", "td", 0), ("d", "td", 0)]
+
+
+def test_gradient():
+    rng = np.random.default_rng(0)
+    chosen = [ex._made_page(rng) for _ in range(3)]
+    chosen = [(b[:12], np.array(y[:12])) for b, y in chosen]
+    w = {n: rng.normal(0, 0.3, s) for n, s in ex._shapes().items()}
+
+    def loss(w):
+        f = ex.featurize([x for b, _ in chosen for x in b])
+        cuts = np.cumsum([0, *(len(b) for b, _ in chosen)])
+        p = ex.probabilities(w, f, cuts)
+        y = np.concatenate([y for _, y in chosen])
+        return -np.mean(y * np.log(p) + (1 - y) * np.log(1 - p))
+
+    grad = ex._gradient(w, chosen)
+    for name, at in [("xf", (3, 5)), ("hb", (2, 40)), ("cf", (20,)), ("out", (4,)), ("skip", (25,)), ("bias", (0,)), ("hf", (1, 3)), ("xb", (0, 60))]:
+        step = {n: v.copy() for n, v in w.items()}
+        step[name][at] += 1e-5
+        assert (loss(step) - loss(w)) / 1e-5 == pytest.approx(grad[name][at], rel=1e-3, abs=1e-7)
+    for name in ("path", "leaf", "word"):
+        at = tuple(np.argwhere(np.abs(grad[name]) > 1e-4)[0])
+        step = {n: v.copy() for n, v in w.items()}
+        step[name][at] += 1e-5
+        assert (loss(step) - loss(w)) / 1e-5 == pytest.approx(grad[name][at], rel=1e-3)
