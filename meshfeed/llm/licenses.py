@@ -107,7 +107,8 @@ class Index:
 
 def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> Index:
     """Counts over all documents in how many each word of the templates occurs, and keeps the positions
-    of each template's ``INDEX_WORDS`` rarest words that occur at all.
+    of each template's ``INDEX_WORDS`` rarest words that occur at all, the three rarest and those with at
+    least half of the rarest one's inverse frequency.
 
     One count for each template word goes to the driver, however many documents there are; null
     texts count as documents without words.
@@ -122,6 +123,8 @@ def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template,
         own = _words_of(t.text)
         # a word that no document has cannot be looked up
         rare = sorted({w for w in own if w in frequency}, key=lambda w: (-idf[w], own.index(w)))[:INDEX_WORDS]
+        # beside its three rarest no common words: those would be looked up at every turn
+        rare = rare[:3] + [w for w in rare[3:] if idf[w] >= idf[rare[0]] / 2]
         postings.append(tuple((w, k) for k, w in enumerate(own) if w in rare))
     return Index(templates, tuple(postings), idf)
 
