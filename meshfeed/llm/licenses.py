@@ -12,9 +12,8 @@ from pyspark.sql import functions as F
 
 from meshfeed.llm.arrow_text import fresh, without
 
-#: Words of a template that the index keeps, its rarest; and distinct words of a file, its rarest,
-#: that are looked up.
-INDEX_WORDS, FILE_WORDS = 6, 12
+#: Words of a template that the index keeps, its rarest. All words of a file are looked up.
+INDEX_WORDS = 6
 #: The least share of a template's indexed words that must stand at one relative position, and words.
 LEAST_SHARE, LEAST_WORDS = 0.5, 2
 
@@ -152,33 +151,30 @@ def _at(words_: Column, i: Column, own: list[str]) -> Column:
 
 
 def _votes(words_: Column, index: Index) -> Column:
-    """A template, an offset and a word for each posting that one of the file's rarest words meets."""
-    known = sorted({w for p in index.postings for w, _ in p}, key=lambda w: (-index.idf[w], w))
+    """A template, an offset and a word for each posting that one of the file's words meets; no two are equal."""
+    known = sorted({w for p in index.postings for w, _ in p})
     none = F.array().cast("array<struct<t:int,at:int,k:int>>")
     if not known:
         return none
     hits = F.filter(
         F.transform(words_, lambda w, i: F.struct(w.alias("w"), i.alias("i"))), lambda h: h["w"].isin(known)
     )
-    # the index's words stand rarest first, so those of the file do as well
-    rarest = F.slice(F.array_intersect(_list(known), words_), 1, FILE_WORDS)
     by_word = {
         w: [(t, k) for t, p in enumerate(index.postings) for x, k in p if x == w] for w in known
     }
     table = F.array(
         *[F.array(*[F.struct(F.lit(t).alias("t"), F.lit(k).alias("k")) for t, k in by_word[w]]) for w in known]
     )
-    used = F.filter(hits, lambda h: F.array_contains(rarest, h["w"]))
     votes = F.flatten(
         F.transform(
-            used,
+            hits,
             lambda h: F.transform(
                 F.get(table, (F.array_position(_list(known), h["w"]) - 1).cast("int")),
                 lambda p: F.struct(p["t"].alias("t"), (h["i"] - p["k"]).alias("at"), p["k"].alias("k")),
             ),
         )
     )
-    return F.when(F.arrays_overlap(words_, _list(known)), F.array_sort(F.array_distinct(votes))).otherwise(none)
+    return F.when(F.arrays_overlap(words_, _list(known)), F.array_sort(votes)).otherwise(none)
 
 
 def _aligned(votes: Column, index: Index) -> Column:
@@ -235,11 +231,11 @@ def scan(docs: DataFrame, index: Index, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``; ``base_places``, start (words from 0) and label of every phrase of ``PHRASES``;
     and ``license_matches``, label, start and share of each template found.
 
-    A file's ``FILE_WORDS`` rarest indexed words vote with all their places for a template and a
-    relative position; a template needs half of its indexed words at one position, and its key
-    phrases in their places. Texts without any of the index's anchors, which every label needs,
-    are only counted. Expressions over the row alone: no shuffle, no Python. A null or empty text
-    has no words. Columns of the added names are replaced.
+    All indexed words of a file vote with all their places for a template and a relative position; a
+    template needs half of its indexed words at one position, and its key phrases in their places.
+    Texts without any of the index's anchors, which every label needs, are only counted.
+    Expressions over the row alone: no shuffle, no Python. A null or empty text has no words.
+    Columns of the added names are replaced.
     """
     docs = without(docs, *ADDED)
     lower, own, votes, aligned = (fresh(docs, f"license_{n}") for n in ("lower", "words", "votes", "aligned"))

@@ -130,6 +130,24 @@ def test_licence_positions(spark):
     assert {m.label for m in row.license_matches} == {"apache-2.0"}
 
 
+NOTICES = {
+    "apache-2.0": "Licensed under the Apache License, Version 2.0", "mit": "Released under the MIT License.",
+    "gpl": "This work is licensed under the GNU General Public License", "cc-by-nc": "Licensed under CC BY-NC 4.0",
+    "reserved": "Copyright. All rights reserved.", "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+    "mpl-2.0": "subject to the terms of the Mozilla Public License, v. 2.0",
+}
+
+
+@pytest.mark.parametrize("own", [["apache-2.0", "mit", "gpl", "cc-by-nc", "reserved"], ["apache-2.0", "mit", "gpl", "bsd", "isc", "mpl-2.0"], list(NOTICES)])
+def test_every_notice_of_a_text_with_several_is_found(spark, own):
+    every = [t.text for t in licenses.TEMPLATES]
+    text = " Filler between two notices. ".join(NOTICES[n] for n in own)
+    docs = spark.createDataFrame(list(enumerate([text, *every])), "doc_id int, text string")
+    row = licenses.scan(docs, licenses.build_index(docs)).where("doc_id = 0").first()
+    assert set(own) <= {m.label for m in row.license_matches}
+
+
 def check_shards(rows, limit):
     shards = {}
     for r in rows:
