@@ -22,7 +22,22 @@ from meshfeed.llm.arrow_text import (
     with_columns,
     without,
 )
-from meshfeed.llm.html_blocks import PATH_BUCKETS, Block, bucket, parse
+from meshfeed.llm.html_blocks import (
+    ADVERT_NAMES,
+    COMMENT_NAMES,
+    FOOTER_NAMES,
+    FORM_NAMES,
+    HEADER_NAMES,
+    HIDDEN_NAMES,
+    MAIN_NAMES,
+    MENU_NAMES,
+    NOTICE_NAMES,
+    PATH_BUCKETS,
+    SIDE_NAMES,
+    Block,
+    bucket,
+    parse,
+)
 
 #: Pages that the labeller is fitted on (about; drawn by a hash of the id) and the longest among them
 #: in bytes and blocks. They bound what goes to the driver.
@@ -37,21 +52,7 @@ _AT_ONCE = 20_000
 
 ADDED = {"main_text": "string"}
 
-# fixed values: names of tags (plain) and of classes, ids and roles (after a dot) around main text and
-# around everything else
-MAIN_NAMES = (
-    "article main .content .article .main .post .entry .story .body .text .prose .page .blog .maincontent "
-    ".articlebody .postcontent"
-).split()
-MENU_NAMES = "nav menu .nav .menu .navigation .navbar .breadcrumb .breadcrumbs .toc .tabs .pagination .pager".split()
-HEADER_NAMES = "header .header .masthead .topbar .logo .branding .banner".split()
-FOOTER_NAMES = "footer .footer .copyright .legal .colophon .imprint .contentinfo".split()
-SIDE_NAMES = "aside .sidebar .side .widget .related .recommended .trending .popular .share .social .tags .author .bio".split()
-ADVERT_NAMES = ".ad .ads .advert .advertisement .sponsor .sponsored .promo .promotion .adslot .banner".split()
-NOTICE_NAMES = "dialog .cookie .consent .notice .alert .popup .modal .newsletter .subscribe .paywall .gdpr .toast".split()
-FORM_NAMES = "form fieldset button select textarea .form .search .login .signup .contact .captcha".split()
-COMMENT_NAMES = ".comment .comments .commentlist .discussion .respond .replies .disqus .reviews .feedback".split()
-HIDDEN_NAMES = "head title noscript template svg iframe object .hidden .visuallyhidden .print".split()
+# fixed values: kinds of names that are never main text, and leaf tags of made pages
 _NEVER = [MENU_NAMES, HEADER_NAMES, FOOTER_NAMES, SIDE_NAMES, ADVERT_NAMES, NOTICE_NAMES, FORM_NAMES, COMMENT_NAMES]
 _LEAVES = {"content": "p p p p p h1 h2 h3 li blockquote pre td div".split(), "other": "li li p div span h3 h4 label td".split()}
 
@@ -105,7 +106,7 @@ def featurize(blocks: list[Block]) -> Features:
     )
     return Features(
         np.array([i for p in ids for i in p], np.int64), np.cumsum([0, *map(len, ids)]),
-        path, np.array([bucket(f"leaf {b.leaf}") for b in blocks], np.int64), words, first, numbers,
+        path, np.array([bucket(b.leaf) for b in blocks], np.int64), words, first, numbers,
     )
 
 
@@ -227,7 +228,8 @@ def _made_page(rng: np.random.Generator) -> tuple[list[Block], list[float]]:
     def add(names: list[str], kind: str, many: int, words: tuple[int, int], label: float) -> None:
         around = [*base, *names, *(["div"] if any(n[0] == "." for n in names) else [])]
         for _ in range(many):
-            leaf = pick(_LEAVES["content" if kind == "content" else "other"])
+            # text may also stand in the named element itself, as in <footer>text</footer>
+            leaf = around[-1] if rng.random() < 0.2 else pick(_LEAVES["content" if kind == "content" else "other"])
             n = int(rng.integers(*words))
             text = " ".join(f"w{rng.integers(4000)}" for _ in range(n)) + ("." if rng.random() < (0.8 if kind == "content" else 0.25) else "")
             linked = kind == "menu" or (kind == "other" and rng.random() < 0.3)

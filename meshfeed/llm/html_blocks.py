@@ -7,8 +7,8 @@ from dataclasses import dataclass
 from html import unescape
 from zlib import crc32
 
-#: Buckets that names of tags, classes and ids are hashed to.
-PATH_BUCKETS = 512
+#: Buckets that all names without a number of their own are hashed to.
+OTHER_BUCKETS = 2048
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -35,6 +35,40 @@ _CLOSES_SAME = {
     "th": ("td", "th"), "option": ("option",), "body": ("head",),
 }
 _SCOPE = frozenset("article aside body div footer form header html main nav ol section table ul dl".split())
+_TAGS = (
+    "acronym applet canvas caption center col colgroup datalist dir frame frameset hgroup legend map math meter optgroup "
+    "option output param picture progress rb rtc script search slot style summary tbody td tfoot th thead tr video audio body"
+).split()
+
+# fixed values: names of tags (plain) and of classes, ids and roles (after a dot) around main text and
+# around everything else
+MAIN_NAMES = (
+    "article main .content .article .main .post .entry .story .body .text .prose .page .blog .maincontent "
+    ".articlebody .postcontent"
+).split()
+MENU_NAMES = "nav menu .nav .menu .navigation .navbar .breadcrumb .breadcrumbs .toc .tabs .pagination .pager".split()
+HEADER_NAMES = "header .header .masthead .topbar .logo .branding .banner".split()
+FOOTER_NAMES = "footer .footer .copyright .legal .colophon .imprint .contentinfo".split()
+SIDE_NAMES = "aside .sidebar .side .widget .related .recommended .trending .popular .share .social .tags .author .bio".split()
+ADVERT_NAMES = ".ad .ads .advert .advertisement .sponsor .sponsored .promo .promotion .adslot .banner".split()
+NOTICE_NAMES = "dialog .cookie .consent .notice .alert .popup .modal .newsletter .subscribe .paywall .gdpr .toast".split()
+FORM_NAMES = "form fieldset button select textarea .form .search .login .signup .contact .captcha".split()
+COMMENT_NAMES = ".comment .comments .commentlist .discussion .respond .replies .disqus .reviews .feedback".split()
+HIDDEN_NAMES = "head title noscript template svg iframe object .hidden .visuallyhidden .print".split()
+
+#: Names with a number of their own: tags, and all names above. Names of the lists meet no other name.
+_EXACT = {
+    name: k
+    for k, name in enumerate(
+        sorted(
+            {"", *_TAGS, *_VOID, *_INLINE, *_CLOSES_P, *_CLOSES_SAME, *_SCOPE}.union(
+                MAIN_NAMES, MENU_NAMES, HEADER_NAMES, FOOTER_NAMES, SIDE_NAMES, ADVERT_NAMES, NOTICE_NAMES, FORM_NAMES,
+                COMMENT_NAMES, HIDDEN_NAMES,
+            )
+        )
+    )
+}
+PATH_BUCKETS = len(_EXACT) + OTHER_BUCKETS
 
 
 @dataclass(frozen=True, slots=True)
@@ -48,7 +82,9 @@ class Block:
 
 
 def bucket(name: str) -> int:
-    return crc32(name.encode()) % PATH_BUCKETS
+    """The name's own number, or for names without one a bucket that no such number is among."""
+    known = _EXACT.get(name)
+    return len(_EXACT) + crc32(name.encode()) % OTHER_BUCKETS if known is None else known
 
 
 def name_parts(value: str) -> list[str]:

@@ -49,6 +49,25 @@ def test_other_layouts(spark, weights, around):
     assert ex.extract(pages, weights).first().main_text == WANT
 
 
+HARMLESS = ["<article>%s</article>".replace("%s", s) for s in (
+    "<h1>A headline</h1><p><strong>First</strong> &amp; longer paragraph of the story, with some words in it.</p><p><strong>Second one,</strong>\n  also long enough to read.</p>",
+    "<h1>A headline</h1><p><time>First</time> &amp; longer paragraph of the story, with some words in it.</p><p>Second one,\n  also long enough to read.</p>",
+)] + [f'<div class="{c}"><article>{BODY}</article></div>' for c in ("wrapper", "page", "section", "story", "intro", "panel", "box")]
+
+
+@pytest.mark.parametrize("around", HARMLESS)
+def test_names_that_are_no_boilerplate(spark, weights, around):
+    labels = ex.teacher(parse(PAGE.replace("%s", around)))
+    texts = [b.text for b in parse(PAGE.replace("%s", around))]
+    assert "\n".join(t for t, y in zip(texts, labels, strict=True) if y) == WANT
+    pages = spark.createDataFrame([(1, PAGE.replace("%s", around))], "page_id int, html string")
+    assert ex.extract(pages, weights).first().main_text == WANT
+
+
+def test_only_articles_are_told_by_article():
+    assert ex.teacher(parse('<div class="markdown"><p>Some text.</p></div>')) is None
+
+
 def test_edge_cases(spark, weights):
     texts = [
         None, "", "   ", "<p>", "<article><p>unclosed <b>bold<p>next &notit; &#x41;&lt;</article", "<!-- only <p>a comment</p>", "<script>alert('x')",
