@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshfeed.llm import decontaminate, extraction, language, licenses, packing, pii, sharding, simhash, topk, toxicity
+from meshfeed.llm import (
+    decontaminate,
+    extraction,
+    fill_middle,
+    language,
+    licenses,
+    neighbours,
+    packing,
+    pii,
+    resampling,
+    sharding,
+    simhash,
+    topk,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -181,6 +195,99 @@ from d left join words using (doc_id) left join found using (doc_id)
 """
 
 
+def target_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the documents, drawn towards the words of the benchmark; a row for every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = resampling.fit(docs, _table(spark, sf_dir, "benchmark"), least=1, most=1, buckets=10000)
+    scored = resampling.weigh(docs, model).drop("text")
+    scored = scored.withColumn("score", resampling.noisy_score("doc_id", "weight", seed=2024))
+    order = [F.desc("score"), F.asc_nulls_last("doc_id")]
+    found = resampling.ranked(scored, 10, F.col("n_words") >= 20, order)
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC-32 of every different word, byte by byte from a table that is made by its rule
+RESAMPLING_SQL = """
+with recursive steps(v, c, n) as (
+  select i, i, 0 from range(256) as t(i)
+  union all select v, case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, n + 1 from steps where n < 8),
+lookup as (select list(c order by v) as s from steps where n = 8),
+d as (select doc_id, {words} as w from documents),
+b as (select {words} as w from benchmark),
+vocabulary as (
+  select distinct w, hex(encode(w)) as h from (select unnest(w) as w from d union all select unnest(w) from b)),
+hashed as (
+  select w, xor(list_reduce(list_prepend(cast(4294967295 as bigint),
+      [cast('0x' || h[2 * i + 1:2 * i + 2] as bigint) for i in range(len(h) // 2)]),
+    lambda c, x: xor(c >> 8, s[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as bucket
+  from vocabulary, lookup),
+raw as (select bucket, count(*) as s from (select unnest(w) as w from d) join hashed using (w) group by bucket),
+goal as (select bucket, count(*) as t from (select unnest(w) as w from b) join hashed using (w) group by bucket),
+gains as (
+  select bucket, cast(floor(1000 * ln(
+    cast(coalesce(t, 0) + 1 as double) * cast((select sum(s) from raw) + 10000 as double)
+    / (cast(s + 1 as double) * cast((select coalesce(sum(t), 0) from goal) + 10000 as double)))) as bigint) as gain
+  from raw left join goal using (bucket)),
+weights as (
+  select doc_id, cast(sum(gain) as bigint) as weight
+  from (select doc_id, unnest(w) as w from d) join hashed using (w) join gains using (bucket) group by doc_id),
+scored as (
+  select d.doc_id, cast(len(w) as bigint) as n_features, coalesce(weight, 0) as weight, coalesce(weight, 0)
+    + cast(floor(-1000 * ln(-ln((cast('0x' || substr(sha256('2024:' || cast(d.doc_id as varchar)), 1, 8) as bigint) + 0.5::double)
+      / 4294967296::double))) as bigint) as score
+  from d left join weights using (doc_id)),
+places as (
+  select doc_id, row_number() over (order by score desc, doc_id) as rank, count(*) over () as n
+  from scored where n_features >= 20)
+select scored.*, case when rank <= 10 * n // 100 then rank end as rank from scored left join places using (doc_id)
+""".replace("{words}", _WORDS)
+
+
+def approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors that a forest finds for every hundredth one."""
+    vectors = neighbours.usable(_table(spark, sf_dir, "embeddings"))
+    return neighbours.nearest(vectors, F.col("id") % 100 == 0, k=10)
+
+
+def fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document rearranged, and put back together from what came out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    moved = fill_middle.transform(docs, seed=1, percent=90, suffix_first_percent=20).drop("text")
+    back = fill_middle.restore(moved, out="restored")
+    return back.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("fim_text", 256).alias("output_sha256"),
+        F.sha2("restored", 256).alias("restored_sha256"),
+    )
+
+
+FILL_MIDDLE_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') as text, sha256('1:' || cast(doc_id as varchar)) as h,
+    regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') as units from documents),
+draws as (
+  select *, cast(len(units) as bigint) as n, cast('0x' || h[1:8] as bigint) as h1, cast('0x' || h[9:16] as bigint) as h2,
+    cast('0x' || h[17:24] as bigint) as h3, cast('0x' || h[25:32] as bigint) as h4 from d),
+cuts as (
+  select *, least(h1 % (n + 1), h2 % (n + 1)) as a, greatest(h1 % (n + 1), h2 % (n + 1)) as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or h3 % 100 >= 90
+      then 'plain' when h4 % 100 < 20 then 'spm' else 'psm' end as form from draws),
+parts as (
+  select *, coalesce(array_to_string(units[1:a], ''), '') as prefix, coalesce(array_to_string(units[a + 1:b], ''), '') as middle,
+    coalesce(array_to_string(units[b + 1:n], ''), '') as suffix from cuts)
+select doc_id, n, form, case when form <> 'plain' then cast(length(prefix) as bigint) end as prefix_chars,
+  case when form <> 'plain' then cast(length(middle) as bigint) end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from parts
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_top_k": exact_top_k,
@@ -193,6 +300,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_benchmark_decontamination": benchmark_decontamination,
         "op9_license_scan": license_scan,
         "op10_simhash_near_duplicates": simhash_near_duplicates,
+        "op11_target_resampling": target_resampling,
+        "op12_approximate_neighbours": approximate_neighbours,
+        "op13_fill_in_middle": fill_in_middle,
     }
 
 
@@ -201,4 +311,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_top_k": TOP_K_SQL,
         "op6_extendible_sharding": SHARDING_SQL,
         "op8_benchmark_decontamination": DECONTAMINATION_SQL,
+        "op11_target_resampling": RESAMPLING_SQL,
+        "op13_fill_in_middle": FILL_MIDDLE_SQL,
     }

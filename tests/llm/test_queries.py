@@ -18,7 +18,7 @@ def duck():
 
 def test_one_query_for_each_operator():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run
 
 
