@@ -221,15 +221,21 @@ def near_links(prints: DataFrame, fingerprint: str, radius: int = 2) -> DataFram
     return dealt.mapInArrow(compare, "a bigint, b bigint")
 
 
-def classes(prints: DataFrame, doc_id: str, fingerprint: str, radius: int = 2) -> DataFrame:
-    """``fingerprint``, ``component_id`` for each distinct fingerprint: the smallest id of the
-    documents reachable over links of at most ``radius`` bits. Copies of a text share a fingerprint
-    and are merged before anything is compared."""
+def rooted(prints: DataFrame, doc_id: str, fingerprint: str, radius: int = 2) -> DataFrame:
+    """``fingerprint``, ``root``, ``least`` for each distinct fingerprint: the fingerprint that names its
+    class, and the smallest id of its own documents. Copies of a text share a fingerprint and are
+    merged before anything is compared."""
     least = prints.groupBy(fingerprint).agg(F.min(doc_id).alias("least"))
     roots = components(near_links(least, fingerprint, radius)).withColumnRenamed("node", fingerprint)
-    joined = stage(
+    return stage(
         least.join(roots, fingerprint, "left").withColumn("root", F.coalesce("root", fingerprint)), "classes"
     )
+
+
+def classes(prints: DataFrame, doc_id: str, fingerprint: str, radius: int = 2) -> DataFrame:
+    """``fingerprint``, ``component_id`` for each distinct fingerprint: the smallest id of the
+    documents reachable over links of at most ``radius`` bits."""
+    joined = rooted(prints, doc_id, fingerprint, radius)
     ids = joined.groupBy("root").agg(F.min("least").alias("component_id"))
     return joined.join(ids, "root").select(fingerprint, "component_id")
 
@@ -264,17 +270,20 @@ def drop_near_duplicates(
     radius: int = 2,
     seed: int = 42,
 ) -> DataFrame:
-    """The document with the smallest id of each class of :func:`near_duplicates`, all columns kept.
+    """One document of each class of :func:`near_duplicates`, all columns kept: that with the smallest
+    id, a null one last; of rows equal in that any one.
 
-    Of repeated rows with that id and fingerprint one stays. Rows with a null id stay only if their
-    whole class has none, one for each fingerprint.
+    An id that stands on texts of several classes is kept in each of which it is the smallest. Rows
+    are written once with their fingerprint and a unique number; classes are settled on those
+    numbers, and the number of the row that stays joins it, so no key is hot.
     """
-    found = stage(near_duplicates(docs, doc_id, text, shingle_words, radius, seed), "near-duplicates")
-    mark = fresh(docs, "simhash_of_row")
-    first = found.where("doc_id = component_id").groupBy("component_id").agg(F.min("simhash").alias("simhash"))
-    first = first.select(F.col("component_id").alias(doc_id), F.col("simhash").alias(mark))
-    rows = add_fingerprint(docs.where(F.col(doc_id).isNotNull()), text, mark, shingle_words, seed)
-    kept = rows.join(first, [doc_id, mark], "left_semi").dropDuplicates([doc_id, mark])
-    lone = found.where("component_id is null").select(F.col("simhash").alias(mark)).distinct()
-    rows = add_fingerprint(docs.where(F.col(doc_id).isNull()), text, mark, shingle_words, seed)
-    return kept.union(rows.join(lone, mark, "left_semi").select(kept.columns).dropDuplicates([mark])).drop(mark)
+    mark, number = fresh(docs, "simhash_of_row"), fresh(docs, "number_of_row")
+    numbered = docs.withColumn(number, F.monotonically_increasing_id())
+    rows = stage(add_fingerprint(numbered, text, mark, shingle_words, seed), "fingerprinted")
+    key = F.col(f"`{doc_id.replace('`', '``')}`")
+    prints = rows.select(key.alias("doc_id"), F.col(mark).alias("simhash"), F.col(number).alias("number"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "number")
+    first = prints.groupBy("simhash").agg(F.min(place).alias("place"))
+    roots = rooted(prints, "doc_id", "simhash", radius).select("simhash", "root")
+    kept = first.join(roots, "simhash").groupBy("root").agg(F.min("place")["number"].alias(number))
+    return rows.join(kept.select(number), number, "left_semi").select(*docs.columns)

@@ -113,3 +113,32 @@ def test_components_match_union_find(spark, seed):
     nodes = {n for link in links for n in link}
     assert {r.node: r.root for r in components(frame).collect()} == roots(nodes, links)
     assert components(frame.limit(0)).count() == 0
+
+
+def test_an_id_in_several_classes_is_kept_in_each(spark):
+    """Repeated and null ids over several classes: every class keeps one row, and no class is lost."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * rng.randrange(1, 4) for _ in range(30)) for _ in range(12)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (1, texts[1]), (None, texts[3]), (None, texts[4]), (7, texts[4])]
+    rows += [(rng.choice([None, 1, 2, 3, 4, 5]), rng.choice(texts)) for _ in range(80)] + [(9, None), (None, ""), (8, "  ")]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, simhash_of_row int")
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    got = [(r.doc_id, r.text) for r in kept.collect()]
+    values = {r.text: r.simhash for r in simhash.add_fingerprint(docs.select("text")).distinct().collect()}
+    distinct = sorted({int(np.int64(v).view(np.uint64)) for v in values.values()})
+    near = [(a, b) for k, a in enumerate(distinct) for b in distinct[:k] if (a ^ b).bit_count() <= 2]
+    root = roots(distinct, near)
+    of = {t: root[int(np.int64(v).view(np.uint64))] for t, v in values.items()}
+    least = {}
+    for i, t in rows:
+        key = (i is None, i or 0)
+        least[of[t]] = min(least.get(of[t], key), key)
+    assert sorted(of[t] for _, t in got) == sorted(least)
+    assert all((i is None, i or 0) == least[of[t]] for i, t in got)
+
+
+def test_fingerprints_are_computed_once_when_rows_are_dropped(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id bigint, text string")
+    plan = simhash.drop_near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan
