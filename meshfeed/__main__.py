@@ -25,7 +25,9 @@ from meshfeed.sinks.documents import write_json_array
 from meshfeed.sources import dated
 from meshfeed.sources.tables import read_csv
 from meshfeed.sources.topics import Topic, stream_topic
-from meshfeed.streaming.ingest import run_until_stopped, start_json_batches, start_json_sink
+from meshfeed.streaming.commits import HOUR, Commits, compact, malformed, start_committed_batches
+from meshfeed.streaming.fanout import start_fan_out
+from meshfeed.streaming.ingest import run_until_stopped, start_json_sink
 
 
 def topic(text: str) -> Topic:
@@ -99,8 +101,14 @@ def site_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def _ingest(spark: SparkSession, args: argparse.Namespace, decode, start, **layout) -> None:
     messages = reduce(DataFrame.unionByName, [stream_topic(spark, t) for t in args.topic])
+    corrupt = args.corrupt_column
+    if args.quarantine:
+        if start is not start_committed_batches:
+            raise SystemExit("--quarantine needs committed batches")
+        corrupt = corrupt or "corrupt"
+        layout["split"] = malformed(corrupt)
     query = start(
-        decode(messages, corrupt_column=args.corrupt_column),
+        decode(messages, corrupt_column=corrupt),
         args.out,
         args.checkpoint,
         interval=None if args.once else args.interval,
@@ -111,7 +119,7 @@ def _ingest(spark: SparkSession, args: argparse.Namespace, decode, start, **layo
 
 
 def score_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    _ingest(spark, args, router_score.score_records, start_json_batches)
+    _ingest(spark, args, router_score.score_records, start_committed_batches)
 
 
 def location_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -119,13 +127,36 @@ def location_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         spark,
         args,
         location_events.location_records,
-        start_json_batches if args.batch_folders else start_json_sink,
+        start_committed_batches if args.batch_folders else start_json_sink,
         partition_by=location_events.PARTITION_BY,
         compression=location_events.COMPRESSION,
         rebalance=args.backlog,
     )
 
 
+def stream_fan_out(spark: SparkSession, args: argparse.Namespace) -> None:
+    messages = reduce(DataFrame.unionByName, [stream_topic(spark, t) for t in args.topic])
+    names = [name for name, _ in args.to]
+    if len(set(names)) < len(names):
+        raise SystemExit("two topics of the same name")
+    interval = None if args.once else args.interval
+    run_until_stopped(start_fan_out(messages, dict(args.to), args.out, args.checkpoint, interval))
+
+
+def compact_batches(spark: SparkSession, args: argparse.Namespace) -> None:
+    before = int(datetime.fromisoformat(args.before).replace(tzinfo=UTC).timestamp() * 1000)
+    partitions = args.partition_by.split(",") if args.partition_by else ()
+    print(compact(spark, args.path, before, args.file_bytes, partitions, args.compression))
+    if args.keep_hours is not None:
+        Commits(spark, args.path).vacuum(int(args.keep_hours * HOUR))
+
+
+def named_topic(text: str) -> tuple[str, Topic]:
+    """``name=`` and a topic as JSON."""
+    name, _, rest = text.partition("=")
+    return name, topic(rest)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="meshfeed", description=__doc__)
     jobs = top.add_subparsers(dest="job", required=True)
@@ -134,7 +165,7 @@ def parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
         sub.add_argument(
-            "--topic", type=topic, action="append", default=[], required=name != "site-alert"
+            "--topic", type=topic, action="append", default=[], required=name not in ("site-alert", "compact")
         )
         sub.add_argument(
             "--shuffle-partitions", type=int, help="about the bytes shuffled divided by 128 MB"
@@ -144,12 +175,15 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--run-date", default=datetime.now(UTC).date().isoformat())
             sub.add_argument("--days-back", type=int, default=days_back)
             sub.add_argument("--check", action="store_true", help="read the topics back")
-        else:
+        elif name != "compact":
             sub.add_argument("--out", required=True)
             sub.add_argument("--checkpoint", required=True)
             sub.add_argument("--once", action="store_true", help="stop when all is read")
+            if name == "fan-out":
+                return sub
             sub.add_argument("--corrupt-column", help="keep malformed messages in this column")
             sub.add_argument("--max-records-per-file", type=int, default=5_000_000)
+            sub.add_argument("--quarantine", action="store_true", help="malformed messages into a sink of their own")
         return sub
 
     sub = job("router-score", router_scores, 1)
@@ -181,6 +215,18 @@ def parser() -> argparse.ArgumentParser:
         "--backlog", action="store_true", help="bring each hour together, split by size"
     )
     sub.add_argument("--batch-folders", action="store_true", help="one folder for each batch")
+
+    sub = job("fan-out", stream_fan_out)
+    sub.add_argument("--to", type=named_topic, action="append", required=True, help="NAME=topic")
+    sub.add_argument("--interval", default="10 seconds")
+
+    sub = job("compact", compact_batches)
+    sub.add_argument("--path", required=True, help="folder of committed batches")
+    sub.add_argument("--before", required=True, help="UTC time; hours that ended by then are rewritten")
+    sub.add_argument("--file-bytes", type=int, default=128 << 20)
+    sub.add_argument("--partition-by", help="partition columns of the batches")
+    sub.add_argument("--compression")
+    sub.add_argument("--keep-hours", type=float, help="then delete folders replaced so long ago")
     return top
 
 
