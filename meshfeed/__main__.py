@@ -23,6 +23,7 @@ from meshfeed.session import build_session, staged
 from meshfeed.sinks.archive import move_to_archive, require_free
 from meshfeed.sinks.documents import write_json_array
 from meshfeed.sources import dated
+from meshfeed.sources.headers import read_csv_by_name
 from meshfeed.sources.tables import read_csv
 from meshfeed.sources.topics import Topic, stream_topic
 from meshfeed.streaming.commits import HOUR, Commits, compact, malformed, start_committed_batches
@@ -34,9 +35,15 @@ def topic(text: str) -> Topic:
     return Topic(**json.loads(text))
 
 
-def _publish(spark: SparkSession, feed: Feed, check: bool) -> None:
-    """A check that finds a message missing or unreadable fails the job."""
-    if not check:
+def _publish(spark: SparkSession, feed: Feed, args: argparse.Namespace) -> None:
+    """A check that finds a message missing or unreadable, or counts that differ, fails the job."""
+    if args.counted:
+        report = feed.run_counted(spark)
+        report.show(truncate=False)
+        if report.where("not delivered").count():
+            raise SystemExit("what was sent is not what arrived")
+        return
+    if not args.check:
         feed.run(spark)
         return
     report = feed.run_checked(spark)
@@ -54,9 +61,9 @@ def router_scores(spark: SparkSession, args: argparse.Namespace) -> None:
     def read(session: SparkSession):
         return dated.read_dated_parquet(session, args.root, args.run_date, args.days_back)
 
-    _publish(spark, Feed(read, [whole], args.topic), args.check)
+    _publish(spark, Feed(read, [whole], args.topic), args)
     if args.sample_topic:
-        _publish(spark, Feed(read, [sample], args.sample_topic), args.check)
+        _publish(spark, Feed(read, [sample], args.sample_topic), args)
 
 
 def activations(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -73,7 +80,7 @@ def activations(spark: SparkSession, args: argparse.Namespace) -> None:
     feed = Feed(
         lambda session: read_csv(session, path, schema=schema, infer=schema is None), [step], args.topic
     )
-    _publish(spark, feed, args.check)
+    _publish(spark, feed, args)
 
 
 def site_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -83,18 +90,20 @@ def site_alerts(spark: SparkSession, args: argparse.Namespace) -> None:
         require_free(spark, args.document)
     path = dated.dated_path(args.root, args.run_date, args.days_back, args.name)
     schema = string_schema(args.columns.split(",")) if args.columns else site_alert.SITE_SCHEMA
-    records = site_alert.site_alert_records(
-        read_csv(spark, path, schema=schema, nested=True), args.link_prefix
-    )
+    if args.by_name:
+        sites = read_csv_by_name(spark, path, schema=schema)
+    else:
+        sites = read_csv(spark, path, schema=schema, nested=True)
+    records = site_alert.site_alert_records(sites, args.link_prefix)
     with ExitStack() as tables:
         if args.document and args.topic:
             records = tables.enter_context(staged(records, "report"))
         if args.document:
             order = site_alert.REPORT_ORDER if args.sort else ()
-            write_json_array(records, args.document, order)
+            write_json_array(records, args.document, order, one_file=args.one_file, pretty=args.pretty)
         if args.topic:
             messages = tables.enter_context(site_alert.site_alert_messages(records, args.form))
-            _publish(spark, Feed(lambda _: messages, [], args.topic), args.check)
+            _publish(spark, Feed(lambda _: messages, [], args.topic), args)
     if args.document and args.archive:
         print(move_to_archive(spark, args.document))
 
@@ -175,6 +184,7 @@ def parser() -> argparse.ArgumentParser:
             sub.add_argument("--run-date", default=datetime.now(UTC).date().isoformat())
             sub.add_argument("--days-back", type=int, default=days_back)
             sub.add_argument("--check", action="store_true", help="read the topics back")
+            sub.add_argument("--counted", action="store_true", help="check by counts, reading only what was added")
         elif name != "compact":
             sub.add_argument("--out", required=True)
             sub.add_argument("--checkpoint", required=True)
@@ -200,6 +210,9 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--link-prefix", required=True)
     sub.add_argument("--document", help="folder for the report as one JSON array")
     sub.add_argument("--sort", action="store_true", help="sort the document")
+    sub.add_argument("--one-file", action="store_true", help="the document as one file, not a folder of parts")
+    sub.add_argument("--pretty", action="store_true", help="a line for each field")
+    sub.add_argument("--by-name", action="store_true", help="files may have their columns in any order")
     sub.add_argument("--columns", help="names of all columns in order, if not the usual ones")
     sub.add_argument(
         "--form", choices=sorted(site_alert.FORMS), default="records", help="messages of the report"

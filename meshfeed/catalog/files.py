@@ -9,6 +9,7 @@ from meshfeed.catalog.standins import ACTIVATION_JSON_SQL, activations
 from meshfeed.plans import activation
 from meshfeed.session import shared_folder
 from meshfeed.sources import dated
+from meshfeed.sources.headers import read_csv_by_name
 from meshfeed.sources.tables import read_csv
 
 _TARGET = "2024-01-16"
@@ -41,6 +42,23 @@ def csv_recursive_scan(spark, sf_dir):
     return read_csv(spark, folder, nested=True)
 
 
+@query("""
+    select event_id, user_id, event_type, case when event_type <> 'view' then value end as value
+    from events""")
+def csv_columns_by_name(spark, sf_dir):
+    """A tree of files with three headers: the columns in two orders, and one without a column."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    folder = shared_folder(spark, "csv-orders")
+    kinds = F.col("event_type")
+    for name, rows in {
+        "usual": events.filter(~kinds.isin("click", "view")),
+        "turned": events.filter(kinds == "click").select("value", "event_type", "event_id", "user_id"),
+        "less/deep": events.filter(kinds == "view").select("event_type", "event_id", "user_id"),
+    }.items():
+        rows.write.option("header", "true").csv(f"{folder}/{name}")
+    return read_csv_by_name(spark, folder, schema=events.schema)
+
+
 def _by_day(df):
     """Each day in few files."""
     return df.hint("rebalance", "day")

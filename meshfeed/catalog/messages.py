@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from meshfeed.sinks.documents import (
 )
 from meshfeed.sinks.messages import delivery_check, message_counts, publish
 from meshfeed.sources.tables import read_whole_files
-from meshfeed.sources.topics import folder_topic, read_topic
+from meshfeed.sources.topics import folder_topic, position, read_between, read_topic
 
 _CUSTOMER_SQL = 'select cast(to_json(c) as varchar) as "value" from customer c'
 
@@ -72,6 +73,34 @@ def publish_readback_check(spark, sf_dir):
     return Feed(_customers(sf_dir), [encode_rows], [topic]).run_checked(spark)
 
 
+@query(f"""
+    with m as (select count(*) as n, cast(sum(strlen("value")) as bigint) as bytes from ({_CUSTOMER_SQL}))
+    select cast(t.topic as int) as topic, n as sent_messages, bytes as sent_bytes, cast(0 as bigint) as sent_nulls,
+      n as received_messages, bytes as received_bytes, cast(0 as bigint) as received_nulls, 1 as delivered
+    from m, range(2) as t(topic)""")
+def publish_counted_check(spark, sf_dir):
+    """Two topics that were used before: what the sending job counted, and what stands in each topic
+    behind its former end."""
+    topics = [folder_topic(shared_folder(spark, name)) for name in ("prod", "nonprod")]
+    publish(encode_rows(table(spark, sf_dir, "supplier")), topics[0])
+    counted = Feed(_customers(sf_dir), [encode_rows], topics).run_counted(spark)
+    counted = counted.withColumn("delivered", F.col("delivered").cast("int"))
+    return counted.drop("sent_checksum", "received_checksum")
+
+
+@query(_CUSTOMER_SQL)
+def topic_between_positions(spark, sf_dir):
+    """Only what was added between two positions of a topic is read."""
+    topic = folder_topic(shared_folder(spark, "topic"))
+    other = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("value"))
+    publish(other, topic)
+    start = position(spark, topic)
+    publish(encode_rows(table(spark, sf_dir, "customer")), topic)
+    end = position(spark, topic)
+    publish(other, topic)
+    return read_between(spark, topic, start, end)
+
+
 @query("""
     select count(*) as sent, count(*) filter (c_mktsegment <> 'BUILDING') as received,
       count(*) filter (c_mktsegment = 'BUILDING') as missing, cast(0 as bigint) as unexpected,
@@ -152,6 +181,41 @@ def json_document_unsorted(spark, sf_dir):
     return records.withColumn("lines", count.scalar())
 
 
+_PRETTY_ORDER = """'  {' || chr(10) || '    "o_orderkey": ' || o_orderkey || ',' || chr(10)
+      || '    "o_custkey": ' || o_custkey || ',' || chr(10)
+      || '    "status": ' || coalesce('"' || nullif(o_orderstatus, 'P') || '"', 'null') || ',' || chr(10)
+      || '    "o_orderdate": "' || strftime(o_orderdate, '%Y-%m-%d') || '"' || chr(10) || '  }'"""
+
+
+@query(f"""
+    select '[' || chr(10) || string_agg({_PRETTY_ORDER}, ',' || chr(10) order by o_orderkey) || chr(10) || ']' || chr(10)
+      as "value"
+    from orders""")
+def json_document_one_file(spark, sf_dir):
+    """A report as one file in readable form, which replaced an older one: its whole text."""
+    path = shared_folder(spark, "reports") + "/report.json"
+    orders = table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey", "o_custkey", "nullif(o_orderstatus, 'P') as status", "cast(o_orderdate as date) as o_orderdate"
+    )
+    write_json_array(table(spark, sf_dir, "nation"), path, one_file=True)
+    write_json_array(orders, path, ["o_orderkey"], one_file=True, pretty=True)
+    return read_whole_files(spark, path)
+
+
+@query(_DOCUMENT_SQL)
+def json_document_replaced(spark, sf_dir):
+    """Two writers of a report: the second fails in the middle of its rows, and leaves the first's."""
+    path = shared_folder(spark, "reports") + "/report"
+    orders = _orders(spark, sf_dir)
+    write_json_array(orders, path, ["o_orderkey"])
+    failing = F.when(F.col("status").isNull(), F.raise_error("no status").cast("string")).otherwise(F.col("status"))
+    try:
+        write_json_array(orders.withColumn("status", failing), path, ["o_orderkey"])
+    except PySparkException:
+        return spark.read.text(path)
+    raise AssertionError("the second report was written")
+
+
 @query(f'select {_ORDERS_JSON} as "value" from orders')
 def json_records(spark, sf_dir):
     folder = shared_folder(spark, "records")

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 
 from meshfeed.session import hadoop_path, staged
-from meshfeed.sinks.messages import delivery_check, fan_out, message_counts
-from meshfeed.sources.topics import Topic, read_topic
+from meshfeed.sinks.messages import MEASURES, delivery_check, fan_out, measured, message_counts, publish_counted
+from meshfeed.sources.topics import Topic, position, read_between, read_topic
 
 Step = Callable[[DataFrame], DataFrame]
 REPORT = ("sent", "received", "missing", "unexpected", "unreadable")
@@ -66,6 +67,30 @@ class Feed:
         kinds = ", ".join([*(f"{n} bigint" for n in REPORT), "topic int"])
         return spark.createDataFrame(reports, kinds)
 
+    def run_counted(self, spark: SparkSession) -> DataFrame:
+        """Publish, and compare what the sending job counted on the way with what stands in each topic
+        between its end before and its end after: one row per topic in their order, ``sent_`` and
+        ``received_`` messages, bytes, nulls and checksum, and whether they agree (``delivered``).
+
+        Sent messages are not read a second time, and of a topic only what this run added, however
+        much it retains. Messages that others send meanwhile make a topic disagree;
+        :meth:`run_checked` tells missing from unexpected ones, at the price of reading all.
+        """
+        if not self.topics:
+            raise ValueError("the feed has no topic")
+        df, rows = self._previewed(spark), []
+        with ExitStack() as tables:
+            if len(self.topics) > 1:
+                df = tables.enter_context(staged(df, "fan-out"))
+            for number, topic in enumerate(self.topics):
+                start = position(spark, topic)
+                sent = publish_counted(df, topic)
+                received = measured(read_between(spark, topic, start, position(spark, topic)))
+                counts = [Decimal(c[m]) if m == "checksum" else c[m] for c in (sent, received) for m in MEASURES]
+                rows.append((number, *counts, sent == received))
+        kinds = [f"{side}_{m} {'decimal(30,0)' if m == 'checksum' else 'bigint'}" for side in ("sent", "received") for m in MEASURES]
+        return spark.createDataFrame(rows, ", ".join(["topic int", *kinds, "delivered boolean"]))
+
     def _previewed(self, spark: SparkSession) -> DataFrame:
         df = self.messages(spark)
         if self.preview_rows:

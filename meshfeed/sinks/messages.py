@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meshfeed.functions.payload import named
@@ -33,6 +33,38 @@ def fan_out(df: DataFrame, topics: Sequence[Topic]) -> None:
                 publish(table, topic)
 
 
+#: What is counted of messages, in the order of the columns of a check.
+MEASURES = ("messages", "bytes", "nulls", "checksum")
+
+
+def _measures() -> list[Column]:
+    """Counts that do not depend on the order of messages. The checksum adds a hash of each message, in
+    a decimal that no number of messages overflows."""
+    value = named("value")
+    hashed = F.xxhash64(value).cast("decimal(20,0)")
+    zero = F.lit(0)
+    return [
+        F.count(F.lit(1)).alias("messages"),
+        F.coalesce(F.sum(F.octet_length(value)), zero.cast("bigint")).alias("bytes"),
+        F.count(F.when(value.isNull(), 1)).alias("nulls"),
+        F.coalesce(F.sum(F.when(value.isNotNull(), hashed)), zero.cast("decimal(30,0)")).alias("checksum"),
+    ]
+
+
+def publish_counted(df: DataFrame, topic: Topic) -> dict[str, int]:
+    """:func:`publish`, and what was sent, counted by the sending job on the way: ``messages``, ``bytes``,
+    ``nulls`` and a ``checksum`` of all texts. Only tasks that succeeded count, once each."""
+    seen = Observation()
+    publish(df.select(named("value").cast("string").alias("value")).observe(seen, *_measures()), topic)
+    return {name: int(seen.get[name]) for name in MEASURES}
+
+
+def measured(messages: DataFrame) -> dict[str, int]:
+    """The same counts of messages that are there, in one pass without a shuffle of texts."""
+    row = messages.agg(*_measures()).first()
+    return {name: int(row[name]) for name in MEASURES}
+
+
 def message_counts(messages: DataFrame) -> DataFrame:
     """``digest``, ``messages``, ``unreadable`` of each different message: how often it is there, and how
     often it is not JSON. A null and an empty message are different; both count as readable or

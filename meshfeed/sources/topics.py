@@ -6,12 +6,14 @@ column ``value`` has the same shape as a topic and stands in for one where there
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from meshfeed.session import hadoop_path
+
 MIN_PARTITIONS = 20
 
 MESSAGE_SCHEMA = T.StructType([T.StructField("value", T.StringType(), True)])
@@ -23,9 +25,13 @@ class Topic:
 
     format: str
     options: Mapping[str, str] = field(default_factory=dict)
+    #: For brokers: where the topic ends now, in the form that the two options below take.
+    end: Callable[[SparkSession], str] | None = None
+    from_option: str = "startingOffsets"
+    to_option: str = "endingOffsets"
 
     def with_options(self, **more: str) -> Topic:
-        return Topic(self.format, {**self.options, **more})
+        return replace(self, options={**self.options, **more})
 
 
 def folder_topic(path: str, format: str = "text") -> Topic:
@@ -80,3 +86,41 @@ def stream_topic(spark: SparkSession, topic: Topic) -> DataFrame:
     if "path" in topic.options:
         reader = reader.schema(MESSAGE_SCHEMA)
     return reader.load()
+
+
+@dataclass(frozen=True)
+class Position:
+    """A place in a topic: the files that a directory holds, or what a broker calls its end."""
+
+    files: frozenset[str] = frozenset()
+    offset: str | None = None
+
+
+def position(spark: SparkSession, topic: Topic) -> Position:
+    """Where the topic ends now. For a directory this is a listing, for a broker one question
+    (``topic.end``); no message is read."""
+    if "path" not in topic.options:
+        if topic.end is None:
+            raise ValueError("the topic has no positions: it needs a function that tells its end")
+        return Position(offset=topic.end(spark))
+    files, root = hadoop_path(spark, topic.options["path"])
+    if not files.exists(root):
+        return Position()
+    listed, found = files.listFiles(root, True), set()
+    while listed.hasNext():
+        path = listed.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            found.add(path.toString())
+    return Position(files=frozenset(found))
+
+
+def read_between(spark: SparkSession, topic: Topic, start: Position, end: Position) -> DataFrame:
+    """What was added to the topic after ``start`` and up to ``end``; nothing else is read."""
+    if "path" not in topic.options:
+        between = topic.with_options(**{topic.from_option: start.offset, topic.to_option: end.offset})
+        return read_topic(spark, between)
+    added = sorted(end.files - start.files)
+    if not added:
+        return spark.createDataFrame([], MESSAGE_SCHEMA)
+    options = {k: v for k, v in topic.options.items() if k != "path"}
+    return spark.read.format(topic.format).options(**options).schema(MESSAGE_SCHEMA).load(added)

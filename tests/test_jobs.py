@@ -121,3 +121,64 @@ def test_ingest_jobs(spark, tmp_path, job):
     )
     files = list((tmp_path / "o2").glob("date=2024-01-01/hour=0/*.json.gz"))
     assert [json.loads(t)["eventType"] for f in files for t in gzip.open(f, "rt")] == [1, 1]
+
+
+def test_counted_check(spark, tmp_path, job, monkeypatch):
+    spark.createDataFrame([router("a", [["CR1000A"]])], SCHEMA).write.parquet(str(tmp_path / "in" / "2024-01-04"))
+    common = ("router-score", "--root", tmp_path / "in", "--run-date", "2024-01-05", "--counted", "--topic", topic(tmp_path / "t"))
+    job(*common)
+    job(*common)
+    assert len(sent(tmp_path / "t")) == 2
+    monkeypatch.setattr("meshfeed.plans.job.measured", lambda df: dict.fromkeys(("messages", "bytes", "nulls", "checksum"), 0))
+    with pytest.raises(SystemExit, match="arrived"):
+        job(*common)
+
+
+def test_quarantine_and_compaction_jobs(spark, tmp_path, job):
+    from meshfeed.streaming.commits import REJECTED, Commits
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text("".join(e + "\n" for e in EVENTS))
+    common = ("--topic", topic(tmp_path / "in"), "--checkpoint", tmp_path / "c", "--once", "--quarantine")
+    with pytest.raises(SystemExit):
+        job("location-ingest", *common, "--out", tmp_path / "o")
+    for text in ("", '{"eventType":7}\n'):
+        if text:
+            (tmp_path / "in" / "b").write_text(text)
+        job("location-ingest", *common, "--out", tmp_path / "o", "--batch-folders")
+    log = Commits(spark, str(tmp_path / "o"))
+    assert len(log.folders()) == len(log.folders(REJECTED)) == 2
+    shape = spark.createDataFrame([], "eventType int, date string, hour int").schema
+    assert log.read(shape).count() == len(EVENTS) and log.read(spark.createDataFrame([], "value string").schema, REJECTED).count() == 1
+    job("compact", "--path", tmp_path / "o", "--before", "2100-01-01T00:00", "--partition-by", "date,hour", "--compression", "gzip", "--keep-hours", "0")
+    assert len(log.folders()) == 1 and log.read(shape).count() == len(EVENTS)
+
+
+def test_fan_out_job(tmp_path, job):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a").write_text('{"n":1}\n{"n":2}\n')
+    targets = [f"{name}={topic(tmp_path / name)}" for name in ("prod", "nonprod")]
+    job(
+        "fan-out", "--topic", topic(tmp_path / "in"), "--to", targets[0], "--to", targets[1],
+        "--out", tmp_path / "ledger", "--checkpoint", tmp_path / "c", "--once",
+    )
+    assert sorted(m["n"] for m in sent(tmp_path / "prod")) == sorted(m["n"] for m in sent(tmp_path / "nonprod")) == [1, 2]
+
+
+def test_readable_document_of_files_with_other_headers(tmp_path, job):
+    """The report as one readable file, from files whose columns stand in different orders."""
+    names = [*site_alert.SITE_COLUMNS, site_alert.FLAG]
+    folder = tmp_path / "in" / "2024-01-04"
+    folder.mkdir(parents=True)
+    for n, order in enumerate((names, names[::-1])):
+        values = {c: "1" if c in site_alert.ALERTS or c == site_alert.FLAG else f"{c}-{n}" for c in names}
+        (folder / f"{n}.csv").write_text(",".join(order) + "\n" + ",".join(values[c] for c in order) + "\n")
+    job(
+        "site-alert", "--root", tmp_path / "in", "--run-date", "2024-01-05", "--link-prefix", "x/",
+        "--document", tmp_path / "report.json", "--one-file", "--pretty", "--sort", "--by-name",
+    )
+    text = (tmp_path / "report.json").read_text()
+    found = json.loads(text)
+    assert [r["enodeb"] for r in found] == ["enodeb-0", "enodeb-1"]
+    assert [r["features"]["rtp_gap"] for r in found] == ["rtp_gap-0", "rtp_gap-1"]
+    assert text == json.dumps(found, indent=2) + "\n"
