@@ -23,6 +23,7 @@ from meshfeed.llm import (
     topk,
     toxicity,
 )
+from meshfeed.session import stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,7 +99,8 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = pii.find(docs, pii.fit(docs))
+    proposed = stage(pii.propose(docs).drop("text"), "candidates")
+    found = pii.select(proposed, pii.fit(proposed))
     counts = [
         F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
         for kind in pii.KINDS[:4]
