@@ -35,7 +35,7 @@ def remove_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind; ``n_chars`` follows the new text."""
-    found = pii.redact(docs, pii.fit(docs))
+    found = pii.fit_and_redact(docs)
     length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
     return found.withColumn("n_chars", length.cast("long")).select(*COLUMNS)
 
