@@ -16,7 +16,7 @@ from meshfeed.session import stage
 #: Vectors that the trees are grown on, at most, and those of a leaf, at most.
 SAMPLE_ROWS, LEAF_ROWS = 32768, 128
 #: Trees, and leaves of all trees together that a query looks into.
-TREES, PROBES = 12, 192
+TREES, PROBES = 6, 184
 #: Rows of a leaf that a task holds at once.
 BLOCK_ROWS = 8192
 #: Numbers that are in memory at once while distances are computed.
@@ -124,19 +124,22 @@ def _plane(points: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, fl
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``id`` and ``v`` (doubles), repeated rows once. Rows with a null id or vector, vectors that are
+    """``id`` and ``v`` (floats stay floats, other numbers are doubles), repeated rows once. Rows with a null id or vector, vectors that are
     empty or all zero, and those with a null, infinite or not-a-number component are left out."""
     name = f"`{vector.replace('`', '``')}`"
     finite = F.forall(name, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < float("inf")))
     some = F.exists(name, lambda x: x != 0)
     key = F.col(f"`{vec_id.replace('`', '``')}`")
     fit_ = vectors.where(key.isNotNull() & F.col(name).isNotNull() & finite).where(some)
+    kind = vectors.select(name).schema[0].dataType.elementType.simpleString()
+    kind = kind if kind == "float" else "double"
     # -0.0 and 0.0 are the same number but not the same bits
-    return fit_.select(key.cast("long").alias("id"), F.transform(name, lambda x: x.cast("double") + F.lit(0.0)).alias("v")).distinct()
+    same = F.transform(name, lambda x: x.cast(kind) + F.lit(0.0).cast(kind))
+    return fit_.select(key.cast("long").alias("id"), same.alias("v")).distinct()
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
 def fit_forests(
@@ -264,7 +267,7 @@ def nearest(
                 forest = model.value.get(width)
                 yield _with_leaves(rows, forest.probes(points, probes) if forest else [[0]] * rows.num_rows)
 
-    shape = "id bigint, v array<double>, leaves array<bigint>"
+    shape = f"id bigint, v {vectors.schema['v'].dataType.simpleString()}, leaves array<bigint>"
     placed = stage(few.select("id", "v").mapInArrow(place, shape), "placed")
     width = F.size("v").cast("long").alias("width")
     inside = placed.select("id", "v", width, F.explode("leaves").alias("leaf"))

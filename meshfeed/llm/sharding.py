@@ -58,7 +58,8 @@ def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataF
     The directory is indexed by the first bits of a hash. A bucket whose rows have more than
     ``limit`` bytes (column ``size``, null counts 0) is split on its next bit, and only such a
     bucket, until all fit; so shards differ in depth. ``shard_id`` is ``s`` and the bucket's bits.
-    A row of over ``limit`` bytes alone gets a shard of its own, ``x`` and its bits, and ``oversize``.
+    A row of over ``limit`` bytes alone gets a shard of its own, ``x`` and its bits, and ``oversize``. So
+    has a bucket that is still too large at the last bit, where rows of one key share a place.
 
     Sizes are summed for all prefixes a few bits deeper than an even spread needs; what is still too
     large there, a hot key say, is looked at again with more bits. The last bits tell rows of one
@@ -82,24 +83,24 @@ def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataF
     depth = min(BITS, max(0, (total // limit)).bit_length() + AHEAD_BITS)
     shape = [F.col(f"row.`{c.replace('`', '``')}`") for c in rows.columns]
 
-    def out(found: DataFrame, shard: Column, depth_: Column, bytes_: Column, n: Column, over: bool) -> DataFrame:
+    def out(found: DataFrame, shard: Column, depth_: Column, bytes_: Column, n: Column, over: Column) -> DataFrame:
         return found.select(
             *shape, shard.alias("shard_id"), depth_.cast("int").alias("depth"), bytes_.alias("shard_bytes"),
-            n.alias("shard_rows"), F.lit(over).alias("oversize"),
+            n.alias("shard_rows"), over.alias("oversize"),
         )
 
     def bits(number: Column, n: Column) -> Column:
         return F.when(n > 0, F.lpad(F.bin(number), n, "0")).otherwise("")
 
     alone = packed.where(F.col("size") > limit)
-    done = out(alone, F.concat(F.lit("x"), bits(F.col("hash"), F.lit(BITS))), F.lit(BITS), F.col("size"), F.lit(1).cast("long"), True)
+    done = out(alone, F.concat(F.lit("x"), bits(F.col("hash"), F.lit(BITS))), F.lit(BITS), F.col("size"), F.lit(1).cast("long"), F.lit(True))
     rest, above = small, 0
     while True:
         directory = _directory(rest, above, depth, limit)
         joined = rest.withColumn("slot", _prefix("hash", depth)).join(directory.hint("merge"), "slot")
         leaf = F.concat(F.lit("s"), bits(F.col("leaf"), F.col("leaf_depth")))
         found = joined.where("leaf is not null")
-        done = done.union(out(found, leaf, F.col("leaf_depth"), F.col("shard_bytes"), F.col("shard_rows"), False))
+        done = done.union(out(found, leaf, F.col("leaf_depth"), F.col("shard_bytes"), F.col("shard_rows"), F.col("shard_bytes") > limit))
         if directory.where("leaf is null").isEmpty():
             return done
         rest = joined.where("leaf is null").select("row", "hash", "size")

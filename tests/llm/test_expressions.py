@@ -215,3 +215,13 @@ def test_shard_of_a_key_is_stable(spark):
     docs = spark.createDataFrame([(5,)], "doc_id bigint")
     (row,) = docs.select(sharding.key_hash("doc_id").alias("h")).collect()
     assert row.h == int(hashlib.md5(b"5").hexdigest()[:11], 16)
+
+
+def test_a_shard_over_the_limit_is_flagged(spark, monkeypatch):
+    """So many large rows of one key that places are shared at the last bit."""
+    monkeypatch.setattr(sharding, "PLACE_BITS", 3)
+    monkeypatch.setattr(sharding, "BITS", sharding.KEY_BITS + 3)
+    rows = spark.createDataFrame([(1, 70)] * 40 + [(2, 30)], "doc_id int, bytes int")
+    found = sharding.assign(rows, "bytes", 100).collect()
+    assert len(found) == 41 and any(r.oversize for r in found)
+    assert all(r.oversize == (r.shard_bytes > 100) for r in found)

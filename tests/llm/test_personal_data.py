@@ -46,7 +46,7 @@ def test_the_trees_decide(spark, model):
     want = ["bob (at) example (dot) org", "bob.smith [at] example.org", "(826) 555-4081", "030 123 4567", "4111.1111.1111.1111", "10-20-30-40"]
     assert [[w for _, w in s] for s in spans(spark, texts, model)] == [[w] for w in want]
     assert spans(spark, texts, pii.Model([], {})) == [[]] * len(texts)
-    plain = ["a thoroughly internationalised text", "4111.1111.1111.1112 units, 712-300-400-500", "9312345678901235 rows", "year 1999-2000, 300-400-500", ""]
+    plain = ["a thoroughly internationalised text", "4111.1111.1111.1112 units, 712-300-400-500", "9312345678901236 rows", "year 1999-2000, 300-400-500", ""]
     assert spans(spark, plain, model) == [[]] * len(plain)
 
 
