@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that a task holds as numpy arrays at once; a longer text is held alone.
 SLICE_BYTES = 1 << 20
+#: The same where a task holds many numbers for each byte.
+SMALL_SLICE_BYTES = 1 << 18
 
 #: Rows that Spark hands to a task's Python at once, instead of its default of 10,000.
 BATCH_ROWS = 1000

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from meshfeed.llm.arrow_text import (
     LOWER,
+    SMALL_SLICE_BYTES,
     NOT_SPACE,
     fresh,
     map_texts,
@@ -75,7 +76,7 @@ def add_fingerprint(
     docs = without(docs, out)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, cuts in sliced(batches, text):
+        for rows, data, cuts in sliced(batches, text, SMALL_SLICE_BYTES):
             yield with_columns(rows, **{out: pa.array(_fingerprints(data, cuts, shingle_words, seed))})
 
     return map_texts(docs, run, schema_with(docs, **{out: "bigint"}))

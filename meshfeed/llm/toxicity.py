@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from meshfeed.llm.arrow_text import (
     LOWER,
+    SMALL_SLICE_BYTES,
     WORD,
     class_table,
     map_texts,
@@ -126,7 +127,7 @@ def _training_rows(features: list[str], text: str):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = table()
-        for rows, data, cuts in sliced(batches, text):
+        for rows, data, cuts in sliced(batches, text, SMALL_SLICE_BYTES):
             head, doc, _, _, sentence, place = _sentences(data, cuts, known)
             number = known.weights[place].astype(np.int64)
             touched = np.unique(sentence)
@@ -252,7 +253,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", offending_from: flo
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias, leak = shared.value
         quiet = float(np.log1p(-_sigmoid(bias)))
-        for rows, data, cuts in sliced(batches, text):
+        for rows, data, cuts in sliced(batches, text, SMALL_SLICE_BYTES):
             head, doc, starts, ends, owner, feature = _sentences(data, cuts, table)
             touched, back = np.unique(owner, return_inverse=True)
             p = _sigmoid(bias + np.bincount(back, table.weights[feature], minlength=len(touched)))
