@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 from html import unescape
 from zlib import crc32
@@ -11,8 +12,8 @@ from zlib import crc32
 OTHER_BUCKETS = 2048
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|</?[A-Za-z][^>]*\Z",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>|</?[A-Za-z][^>]*+\Z",
     re.DOTALL,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
@@ -103,9 +104,12 @@ def _tokens(tag: str, attributes: str) -> list[int]:
 def parse(html: str) -> list[Block]:
     """All text blocks in page order. Character references are decoded and white space runs are one
     space; comments, scripts and styles are no text. Tags may be left open, nested wrongly or cut
-    off; a path has each of its hashed names once, so it stays small however deep the page."""
+    off; a path has each of its hashed names once, so it stays small however deep the page. Time grows
+    with the page's length, however many tags are open."""
     blocks: list[Block] = []
-    stack: list[tuple[str, frozenset[int]]] = [("", frozenset())]
+    # of each open element: its name, its path, and the nearest block-level name
+    stack: list[tuple[str, frozenset[int], str]] = [("", frozenset(), "")]
+    places: dict[str, list[int]] = {}  # where in the stack each name is open
     pieces: list[str] = []
     links = open_links = 0
     where: tuple[str, frozenset[int]] | None = None
@@ -121,12 +125,15 @@ def parse(html: str) -> list[Block]:
         links, where = 0, None
 
     def close(names: tuple[str, ...], stop: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in names:
-                del stack[k:]
-                return
-            if stack[k][0] in stop:
-                return
+        """Closes the innermost of ``names`` and all inside it, unless one of ``stop`` is inside it too."""
+        k = innermost(names)
+        if k > innermost(stop.difference(names)):
+            for name, _, _ in stack[k:]:
+                places[name].pop()
+            del stack[k:]
+
+    def innermost(names: Iterable[str]) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
 
     at = 0
     while True:
@@ -135,8 +142,7 @@ def parse(html: str) -> list[Block]:
         if raw:
             text = unescape(raw) if "&" in raw else raw
             if where is None and not text.isspace():
-                leaf = next((t for t, _ in reversed(stack) if t not in _INLINE), "")
-                where = (leaf, stack[-1][1])
+                where = (stack[-1][2], stack[-1][1])
             pieces.append(text)
             if open_links:
                 links += len(text)
@@ -172,7 +178,11 @@ def parse(html: str) -> list[Block]:
         elif tag == "a":
             open_links = 1
         if tag not in _VOID and not attributes.rstrip().endswith("/"):
-            known = stack[-1][1]
-            stack.append((tag, known if known.issuperset(names := _tokens(tag, attributes)) else known.union(names)))
+            _, known, leaf = stack[-1]
+            names = _tokens(tag, attributes)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(
+                (tag, known if known.issuperset(names) else known.union(names), leaf if tag in _INLINE else tag)
+            )
     flush()
     return blocks

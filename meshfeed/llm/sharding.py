@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +16,10 @@ KEY_BITS, PLACE_BITS = 44, 19
 BITS = KEY_BITS + PLACE_BITS
 #: Bits that the directory looks ahead of an even spread, and that another round adds.
 AHEAD_BITS, ROUND_BITS = 4, 8
+#: Levels of the directory that are summed at once.
+STEP_BITS = 8
 
+LEAF = {"leaf_depth": "int", "leaf": "bigint", "shard_bytes": "bigint", "shard_rows": "bigint"}
 ADDED = ("shard_id", "depth", "shard_bytes", "shard_rows", "oversize")
 
 
@@ -30,26 +35,41 @@ def _prefix(hash_: Column | str, depth: int) -> Column:
 
 def _directory(rows: DataFrame, above: int, depth: int, limit: int) -> DataFrame:
     """``slot`` (the first ``depth`` bits), ``leaf_depth``, ``leaf``, ``shard_bytes``, ``shard_rows``: for each slot in use
-    the shallowest bucket below depth ``above`` that holds it and fits the limit; nulls if none does."""
-    slots = rows.groupBy(_prefix("hash", depth).alias("slot")).agg(
-        F.sum("size").alias("bytes"), F.count("*").alias("n")
-    )
-    slots = stage(slots, "slots")
-    levels = slots.select(
-        "slot", F.explode(F.sequence(F.lit(above), F.lit(depth))).alias("level"), "bytes", "n"
-    ).withColumn("bucket", F.expr(f"shiftright(slot, {depth} - level)"))
-    buckets = levels.groupBy("level", "bucket").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
-    fits = buckets.where((F.col("shard_bytes") <= limit) | (F.lit(depth == BITS) & (F.col("level") == depth)))
-    best = (
-        levels.select("slot", "level", "bucket")
-        .join(fits.hint("merge"), ["level", "bucket"])
-        .groupBy("slot")
-        .agg(F.min(F.struct("level", "bucket", "shard_bytes", "shard_rows")).alias("b"))
+    the shallowest bucket below depth ``above`` that holds it and fits the limit; nulls if none does.
+
+    Sums are made from below, ``STEP_BITS`` levels at a time: of each step only the sums of its uppermost
+    level go on, so a group has at most ``2 ** STEP_BITS`` members, and only slots whose bucket still fits
+    there look further up."""
+    slots = stage(
+        rows.groupBy(_prefix("hash", depth).alias("slot")).agg(F.sum("size").alias("bytes"), F.count("*").alias("n")),
+        "slots",
     )
-    best = best.select(
-        "slot", F.col("b.level").alias("leaf_depth"), F.col("b.bucket").alias("leaf"), "b.shard_bytes", "b.shard_rows"
-    )
-    return stage(slots.select("slot").join(best.hint("merge"), "slot", "left"), "directory")
+    units, open_slots = slots.withColumnRenamed("slot", "unit"), slots.select("slot", F.col("slot").alias("unit"))
+    nowhere = [F.lit(None).cast(t).alias(n) for n, t in LEAF.items()]
+    parts, low = [], depth
+    while True:
+        top = max(above, low - STEP_BITS)
+        levels = units.select(
+            "unit", F.explode(F.sequence(F.lit(top), F.lit(low))).alias("level"), "bytes", "n"
+        ).withColumn("bucket", F.expr(f"shiftright(unit, {low} - level)"))
+        buckets = stage(levels.groupBy("level", "bucket").agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")), "buckets")
+        fits = buckets.where((F.col("bytes") <= limit) | (F.lit(depth == BITS) & (F.col("level") == depth)))
+        best = (
+            levels.select("unit", "level", "bucket")
+            .join(fits.hint("merge"), ["level", "bucket"])
+            .groupBy("unit")
+            .agg(F.min(F.struct("level", "bucket", "bytes", "n")).alias("b"))
+        )
+        placed = stage(open_slots.join(best.hint("merge"), "unit", "left").select("slot", "b"), "directory")
+        leaf = [F.col("b.level").alias("leaf_depth"), F.col("b.bucket").alias("leaf"), F.col("b.bytes").alias("shard_bytes"), F.col("b.n").alias("shard_rows")]
+        parts.append(placed.where("b is null").select("slot", *nowhere))
+        if top == above:
+            parts.append(placed.where("b is not null").select("slot", *leaf))
+            return reduce(DataFrame.union, parts)
+        parts.append(placed.where(F.col("b.level") > top).select("slot", *leaf))
+        open_slots = placed.where(F.col("b.level") == top).select("slot", F.col("b.bucket").alias("unit"))
+        units = buckets.where(F.col("level") == top).select(F.col("bucket").alias("unit"), "bytes", "n")
+        low = top
 
 
 def assign(rows: DataFrame, size: str, limit: int, key: str = "doc_id") -> DataFrame:

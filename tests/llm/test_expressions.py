@@ -203,6 +203,22 @@ def test_hot_key_oversize_rows_nulls_and_copies(spark):
     assert sharding.assign(odd.limit(0), "size", 100).count() == 0
 
 
+@pytest.mark.parametrize("step", [1, 3, 8])
+def test_shards_are_the_shallowest_buckets_that_fit(spark, monkeypatch, step):
+    monkeypatch.setattr(sharding, "STEP_BITS", step)
+    size = {k: 1 + k % 97 for k in range(1500)} | {k: 0 for k in range(5000, 5300)}
+    bits = {k: f"{int(hashlib.md5(str(k).encode()).hexdigest()[:11], 16):044b}" for k in size}
+    total = {}
+    for k, b in bits.items():
+        for n in range(45):
+            total[b[:n]] = total.get(b[:n], 0) + size[k]
+    want = {k: "s" + next(b[:n] for n in range(45) if total[b[:n]] <= 150) for k, b in bits.items()}
+    rows = spark.createDataFrame(list(size.items()), "doc_id bigint, size bigint")
+    found = sharding.assign(rows, "size", 150).collect()
+    assert {r.doc_id: r.shard_id for r in found} == want and len(found) == len(size)
+    assert all(r.shard_bytes == total[r.shard_id[1:]] for r in found)
+
+
 def test_shards_are_written(spark, tmp_path):
     docs = spark.range(100).select(F.col("id").alias("doc_id"), F.lit(10).alias("size"))
     sharding.write_shards(sharding.assign(docs, "size", 100), str(tmp_path / "shards"))

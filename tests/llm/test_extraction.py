@@ -1,4 +1,6 @@
+import math
 import re
+import time
 from html import unescape
 
 import numpy as np
@@ -95,6 +97,38 @@ def test_blocks_and_links():
     assert [(b.text, b.leaf, b.link_chars) for b in blocks] == [("One two", "div", 3), ("a b", "p", 0), ("c", "td", 0), ("d", "td", 0)]
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<div>" * n + "</x>" * n + "end",
+        lambda n: "<b>" * n + "<p>end</p>" * n,
+        lambda n: "<i>" * n + "</p>" * n + "end",
+        lambda n: "<p><b>end" * n,
+        lambda n: "end<!x" * n,
+        lambda n: "end<" + "a" * n,
+        lambda n: "".join(f'<div class="c{k}">end' for k in range(n)),
+    ],
+)
+def test_long_pages_with_wrong_nesting_take_linear_time(page):
+    def seconds(n):
+        best = math.inf
+        for _ in range(2):
+            start = time.perf_counter()
+            assert parse(page(n))[-1].text == "end"
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    assert seconds(100_000) < 0.2 + 12 * seconds(20_000)  # 25 times if it grew with the square
+
+
+def test_elements_close_by_scope():
+    found = [(b.text, b.leaf) for b in parse("<ul><li>a<div><li>b</ul>c<head>d<body>e<table><tr><td>f<td>g</table>h<p><b>i<p>j")]
+    assert found == [
+        ("a", "li"), ("b", "li"), ("c", ""), ("d", "head"), ("e", "body"), ("f", "td"), ("g", "td"), ("h", "body"),
+        ("i", "p"), ("j", "p"),
+    ]
+
+
 def test_gradient():
     rng = np.random.default_rng(0)
     chosen = [ex._made_page(rng) for _ in range(3)]
