@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +28,21 @@ from meshfeed.llm.arrow_text import (
     with_columns,
     without,
 )
+from meshfeed.session import stage
 
-#: Labelled rows that the model is fitted on (about; drawn by a hash of the id), the longest text
-#: among them in bytes, and the words it looks at. They bound what goes to the driver.
-SAMPLE_ROWS, SAMPLE_TEXT_BYTES, VOCABULARY = 8000, 1 << 16, 1000
+#: Labelled documents that the model is fitted on at most, half of each label where there are as many,
+#: and the longest text among them in bytes. They bound what goes to the driver.
+SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 8000, 1 << 16
+
+#: What a toxic document counts in the fit against a clean one: more finds more and rejects more.
+TOXIC_WEIGHT = 3.0
 
 #: Steps and step size of the fit, and the weight decay that keeps chance words near zero.
-STEPS, RATE, DECAY = 600, 0.1, 3e-5
+STEPS, RATE, DECAY = 600, 0.1, 1e-5
 
-#: A feature is chosen if it is in so many toxic rows of the sample, and a share of them at least, and
-#: its chi-squared (one degree of freedom) is far above chance for the number of words tried.
-LEAST_ROWS, LEAST_SHARE, LEAST_CHI = 5, 0.02, 30.0
+#: A feature is chosen if it is in so many toxic rows of the sample and its chi-squared (one degree of
+#: freedom) is far above chance for the number of words tried.
+LEAST_ROWS, LEAST_CHI = 4, 25.0
 
 _PREFIXES = (3, 4, 5, 6, 7, 8)
 _WHOLE = np.uint64(0x5851F42D4C957F2D)
@@ -145,9 +150,14 @@ def _training_rows(features: list[str], text: str):
     return run
 
 
-def _fit_weights(rows: list[tuple[int, int, list[int]]], n_features: int) -> tuple[np.ndarray, float, float]:
-    """Adam on the likelihood of the documents' labels under the noisy-or with a leak."""
+def _fit_weights(
+    rows: list[tuple[int, int, list[int]]], n_features: int, by_label: tuple[float, float] = (1.0, 1.0)
+) -> tuple[np.ndarray, float, float]:
+    """Adam on the likelihood of the documents' labels under the noisy-or with a leak. A row counts as
+    ``by_label`` says for its label, so that a sample with more of one label has the rates of all rows."""
     y = np.array([r[0] for r in rows], float)
+    counts = np.array([by_label[r[0]] for r in rows])
+    counts /= counts.mean()
     plain = np.array([r[1] for r in rows], float)
     flat = np.array([w for r in rows for w in r[2]], np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
@@ -163,7 +173,7 @@ def _fit_weights(rows: list[tuple[int, int, list[int]]], n_features: int) -> tup
         p, p0 = _sigmoid(z), _sigmoid(bias)
         clean = np.log1p(-leak) + plain * np.log1p(-p0) + np.bincount(doc, np.log1p(-p), minlength=len(y))
         rest = np.exp(np.minimum(clean, -1e-9))
-        slope = (y * rest / (1 - rest) - (1 - y)) / len(y)  # of the loss, by log(clean)
+        slope = counts * (y * rest / (1 - rest) - (1 - y)) / len(y)  # of the loss, by log(clean)
         by_z = -p * slope[doc]
         grad = np.concatenate(
             [
@@ -190,30 +200,36 @@ def fit(
     label: str = "toxic",
     sample_rows: int = SAMPLE_ROWS,
     sample_text_bytes: int = SAMPLE_TEXT_BYTES,
-    vocabulary: int = VOCABULARY,
+    toxic_weight: float = TOXIC_WEIGHT,
 ) -> Model:
     """Fits sentence scores to document labels.
 
     ``held_out`` is a condition on ``labels`` whose rows are not learned from. Of the other labelled
-    rows about ``sample_rows`` are drawn by a hash of the id, without texts of over
-    ``sample_text_bytes``; a bounded sample is broadcast as ids and comes back as feature numbers. The
-    features are those whose presence most raises a label's odds in the sample (chi-squared). Null
-    labels and ids are left out; of repeated labels of an id the highest counts. Without rows of
-    both labels nothing can be learned: no features, and the leak is the rate of label 1.
+    documents at most ``sample_rows`` are drawn by a hash of the id, as many of either label as there are
+    up to half, without texts of over ``sample_text_bytes``; the fit weighs the labels by their numbers
+    among all, label 1 ``toxic_weight`` times. The features are all those whose presence raises a label's odds in the sample beyond
+    chance (chi-squared). Null labels, ids and texts are left out; of repeated labels of an id the
+    highest counts, of repeated texts the first in text order. Without rows of both labels nothing
+    can be learned: no features, and the leak is the rate of label 1.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull())
     if held_out is not None:
         known = known.where(~held_out)
     known = known.groupBy(F.col(doc_id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
-    total = known.count()
-    share = min(1.0, sample_rows / max(1, total))
-    known = known.where(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30)))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     texts = texts.where(F.col("text").isNotNull() & (F.octet_length("text") <= sample_text_bytes))
-    sample = texts.join(F.broadcast(known), "id").select("text", "toxic")  # bounded by sample_rows
-    ones, zeros = (
-        sample.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first() if total else (0, 0)
-    )
+    totals = {r.toxic: r["count"] for r in known.where("toxic in (0, 1)").groupBy("toxic").count().collect()}
+    fewer = min(totals.get(0, 0), totals.get(1, 0), sample_rows // 2)
+    quota = {t: min(n, sample_rows - fewer) for t, n in totals.items()}
+    drawn = [
+        known.where(F.col("toxic") == t).orderBy(F.xxhash64("id", F.lit(7)), "id").limit(n) for t, n in quota.items()
+    ]
+    if not drawn:
+        return Model([], np.zeros(0), -35.0, 0.0)
+    ids = F.broadcast(reduce(DataFrame.union, drawn))  # at most sample_rows
+    sample = texts.join(ids, "id").groupBy("id", "toxic").agg(F.min("text").alias("text"))
+    sample = stage(sample.select("text", "toxic"), "toxicity-sample")
+    ones, zeros = sample.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     if not ones or not zeros:
         return Model([], np.zeros(0), -35.0, ones / (ones + zeros) if ones + zeros else 0.0)
     parts = F.split(F.translate("text", _ASCII_UPPER, _ASCII_LOWER), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -228,15 +244,16 @@ def fit(
     best = (
         words.groupBy("word")
         .agg(F.sum("toxic").alias("ones"), F.sum(1 - F.col("toxic")).alias("zeros"))
-        .where(F.col("ones") >= max(LEAST_ROWS, LEAST_SHARE * ones))
+        .where(F.col("ones") >= LEAST_ROWS)
         .select("word", chi.alias("chi"))
         .where(F.col("chi") >= LEAST_CHI)
         .orderBy(F.desc("chi"), "word")
-        .limit(vocabulary)
     )
+    # a sample row has at most sample_text_bytes of features, so there are boundedly many
     chosen = [r.word for r in best.collect()]
     rows = map_texts(sample, _training_rows(chosen, "text"), "toxic int, plain bigint, words array<int>").collect()
-    weights, bias, leak = _fit_weights(rows, len(chosen))
+    by_label = (totals[0] / quota[0], toxic_weight * totals[1] / quota[1])
+    weights, bias, leak = _fit_weights(rows, len(chosen), by_label)
     return Model(chosen, weights, bias, leak)
 
 

@@ -1,3 +1,6 @@
+import math
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +39,55 @@ def test_toxicity_on_held_out_documents(spark, docs, toxic_model):
     assert all(0 <= r.toxicity <= 1 for r in rows)
 
 
+def test_toxicity_learns_from_the_larger_tables(spark):
+    sf = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, held_out=held_out(4, 2))
+    rows = toxicity.score(docs.where(held_out(4, 2)), model).join(labels, "doc_id").select("toxic", "toxicity").collect()
+    assert np.mean([r.toxicity >= 0.3 for r in rows if r.toxic == 1]) >= 0.9
+    assert np.mean([r.toxicity >= 0.3 for r in rows if r.toxic == 0]) <= 0.01
+
+
+def noisy_or(text, model):
+    """Score and offending sentences, one sentence and one feature at a time."""
+    lower = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    clean, found, at = 1 - model.leak, [], 0
+    for part in re.split(r"([.!?\n])", lower):
+        words = list(re.finditer(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", part))
+        if words:
+            own = {w[0] + " " for w in words} | {w[0][:n] for w in words for n in range(3, 9) if len(w[0]) >= n}
+            p = 1 / (1 + math.exp(-model.bias - sum(v for f, v in zip(model.features, model.weights, strict=True) if f in own)))
+            clean *= 1 - p
+            if p >= 0.3:
+                found.append((at + words[0].start(), at + words[-1].end()))
+        at += len(part)
+    return 1 - clean, found
+
+
+def test_toxicity_is_the_noisy_or_of_all_sentences(spark, docs, toxic_model):
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, " .!? "), (-4, "loser " * 30_000), (-5, "Ünique LOSER\nloser")], "doc_id bigint, text string")
+    scored = toxicity.score(docs.select("doc_id", "text").union(odd), toxic_model).collect()
+    assert len(scored) > 1000 and any(r.offending for r in scored)
+    for r in scored:
+        want, found = noisy_or(r.text, toxic_model)
+        assert r.toxicity == pytest.approx(want, abs=1e-9)
+        assert [(s.start, s.end) for s in r.offending] == found
+
+
+def test_the_sample_is_bounded_and_keeps_the_rates(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 20 == 0, "such an idiot. a word").when(F.col("id") % 20 == 1, "a clown? a word").otherwise("a word").alias("text"),
+    )
+    labels = docs.select("doc_id", ((F.col("doc_id") % 20 == 0) | (F.col("doc_id") % 40 == 1)).cast("int").alias("toxic"))
+    repeated = docs.union(docs).union(docs.select("doc_id", F.lit("z other text").alias("text")))
+    model = toxicity.fit(repeated, labels.union(labels), sample_rows=400, toxic_weight=1.0)
+    assert {"idiot ", "clown "} <= set(model.features)
+    by_text = {r.text: r.toxicity for r in toxicity.score(docs, model).select("text", "toxicity").distinct().collect()}
+    assert by_text["such an idiot. a word"] > 0.95 and by_text["a word"] < 0.02
+    assert by_text["a clown? a word"] == pytest.approx(0.5, abs=0.15)  # half of all of them, not of the sample
+
+
 def test_offending_sentences_are_located(spark):
     model = toxicity.Model(["idiot ", "größt"], np.array([9.0, 9.0]), -6.0, 0.01)
     texts = ["Übung eins. You IDIOT there! Fine.", "die größten Sachen\nrest", "idiotic", None, "", "...!!", "idiot " * 20_000]
