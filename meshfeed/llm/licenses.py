@@ -31,6 +31,33 @@ class Template:
 
 # fixed values: phrases that are labelled wherever they stand
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+# fixed values: labels and licence tags
+SPDX = (
+    ("apache-2.0", "Apache-2.0"), ("mit", "MIT"), ("gpl", "GPL-2.0"), ("gpl", "GPL-3.0"), ("lgpl", "LGPL-2.1"), ("lgpl", "LGPL-3.0"),
+    ("agpl", "AGPL-3.0"), ("bsd", "BSD-2-Clause"), ("bsd", "BSD-3-Clause"), ("isc", "ISC"), ("mpl-2.0", "MPL-2.0"),
+    ("epl-2.0", "EPL-2.0"), ("cc0", "CC0-1.0"), ("unlicense", "Unlicense"), ("cc-by", "CC-BY-4.0"),
+    ("cc-by-nc", "CC-BY-NC-4.0"), ("cc-by-sa", "CC-BY-SA-4.0"),
+)
+# fixed values: whole licence texts
+MIT_TEXT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS
+IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD_TEXT = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission."""
+ISC_TEXT = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS."""
 # fixed values: licence notices
 TEMPLATES = (
     Template("apache-2.0", "Licensed under the Apache License, Version 2.0", ("apache license",)),
@@ -38,6 +65,7 @@ TEMPLATES = (
     Template("mit", "Released under the MIT License.", ("mit license",)),
     Template("mit", "licensed under the MIT license", ("mit license",)),
     Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy", ("permission is hereby granted free of charge",)),
     Template("gpl", "This work is licensed under the GNU General Public License", ("general public license",)),
     Template("gpl", "under the terms of the GNU General Public License as published by the Free Software Foundation", ("gnu general public license",)),
     Template("lgpl", "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", ("gnu lesser general public license",)),
@@ -55,6 +83,10 @@ TEMPLATES = (
     Template("cc0", "dedicated to the public domain under CC0 1.0 Universal", ("cc0 1 0",)),
     Template("unlicense", "This is free and unencumbered software released into the public domain", ("free and unencumbered software",)),
     Template("reserved", "Copyright. All rights reserved.", ("all rights reserved",)),
+    Template("mit", MIT_TEXT, ("permission is hereby granted free of charge", "without warranty of any kind")),
+    Template("bsd", BSD_TEXT, ("redistribution and use in source and binary forms", "neither the name of")),
+    Template("isc", ISC_TEXT, ("permission to use copy modify", "the author disclaims all warranties")),
+    *[Template(label, f"SPDX-License-Identifier: {tag}", (f"spdx license identifier {tag.lower().replace('-', ' ').replace('.', ' ')}",)) for label, tag in SPDX],
 )
 
 _WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -106,8 +138,9 @@ class Index:
 
 def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template, ...] = TEMPLATES) -> Index:
     """Counts over all documents in how many each word of the templates occurs, and keeps the positions
-    of each template's ``INDEX_WORDS`` rarest words that occur at all, the three rarest and those with at
-    least half of the rarest one's inverse frequency.
+    of each template's ``INDEX_WORDS`` rarest words, the three rarest and those with at least half of the
+    rarest one's inverse frequency. Words that no document has are the rarest, so an index also serves
+    other documents than those it was counted on; of equally rare words the longest are taken.
 
     One count for each template word goes to the driver, however many documents there are; null
     texts count as documents without words.
@@ -120,8 +153,7 @@ def build_index(docs: DataFrame, text: str = "text", templates: tuple[Template,
     postings = []
     for t in templates:
         own = _words_of(t.text)
-        # a word that no document has cannot be looked up
-        rare = sorted({w for w in own if w in frequency}, key=lambda w: (-idf[w], own.index(w)))[:INDEX_WORDS]
+        rare = sorted(set(own), key=lambda w: (-idf[w], -len(w), own.index(w)))[:INDEX_WORDS]
         # beside its three rarest no common words: those would be looked up at every turn
         rare = rare[:3] + [w for w in rare[3:] if idf[w] >= idf[rare[0]] / 2]
         postings.append(tuple((w, k) for k, w in enumerate(own) if w in rare))

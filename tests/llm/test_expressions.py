@@ -142,6 +142,25 @@ def test_licences(spark):
     assert licenses.build_index(docs.limit(0)).postings
 
 
+def test_an_index_serves_documents_it_was_not_counted_on(spark):
+    """Whole texts, notices and tags, with counts of other documents, of none, and of their own."""
+    texts = [t.text for t in licenses.TEMPLATES]
+    docs = spark.createDataFrame([(k, f"Some words before. {t} Words after.") for k, t in enumerate(texts)], "doc_id int, text string")
+    for counted in (spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), docs.limit(0), docs):
+        found = licenses.scan(docs, licenses.build_index(counted))
+        for row in found.collect():
+            assert licenses.TEMPLATES[row.doc_id].label in {m.label for m in row.license_matches}, texts[row.doc_id]
+
+
+def test_the_index_holds_the_rarest_words(spark):
+    docs = spark.createDataFrame([(k, "redistribution and source or binary forms with use in are that") for k in range(50)], "doc_id int, text string")
+    index = licenses.build_index(docs)
+    for t, own in zip(index.templates, index.postings, strict=True):
+        kept, left = {w for w, _ in own}, set(licenses._words_of(t.text)) - {w for w, _ in own}
+        assert kept and min(index.idf[w] for w in kept) >= max((index.idf[w] for w in left), default=0)
+        assert [k for w, k in own] == [k for k, w in enumerate(licenses._words_of(t.text)) if w in kept]
+
+
 def test_licence_positions(spark):
     docs = spark.createDataFrame([(1, "one two Licensed under the Apache License, Version 2.0")], "doc_id int, text string")
     (row,) = licenses.scan(docs, licenses.build_index(docs)).collect()
