@@ -338,13 +338,16 @@ def fit(
     """Fits the labeller to pages that name their own main text, to the same pages with other names, and
     to made pages, so an empty table gives a labeller too.
 
-    About ``sample_pages`` pages are drawn by a hash of the id, none of over ``sample_html_bytes`` or
-    ``SAMPLE_BLOCKS`` blocks; null pages are not.
+    At most ``sample_pages`` different pages are drawn by a hash of id and html, none of over
+    ``sample_html_bytes`` or ``SAMPLE_BLOCKS`` blocks; null pages are not. Repeated rows count once.
     """
     known = pages.select(F.col(page_id).alias("id"), F.col(html).alias("html"))
     known = known.where(F.octet_length("html") <= sample_html_bytes)
-    share = min(1.0, sample_pages / max(1, known.count()))
-    rows = known.where(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(1 << 30)) < int(share * (1 << 30))).select("html").collect()
+    known = known.withColumn("drawn", F.xxhash64("id", "html", F.lit(13)))
+    different = known.agg(F.approx_count_distinct("drawn", 0.02)).first()[0]
+    share = min(1.0, 1.5 * sample_pages / max(1, different))  # half more than are kept
+    drawn = known.where(F.pmod("drawn", F.lit(1 << 30)) < int(share * (1 << 30))).distinct()
+    rows = drawn.orderBy("drawn", "id", "html").limit(sample_pages).select("html").collect()
     parsed = [b for b in (parse(r.html) for r in rows) if 0 < len(b) <= SAMPLE_BLOCKS]
     return train([(b, y) for b in parsed if (y := teacher(b)) is not None])
 

@@ -9,7 +9,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meshfeed.llm.arrow_text import (
@@ -22,8 +22,8 @@ from meshfeed.llm.arrow_text import (
     without,
 )
 
-#: Rows that the machines are fitted on (about; the same number for each language, drawn by a hash of
-#: the id) and the longest text among them in bytes. They bound what goes to the driver.
+#: Rows that the machines are fitted on (the same number for each language, drawn by a hash of the id
+#: and the text) and the longest text among them in bytes. They bound what goes to the driver.
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 2400, 1 << 15
 
 #: Buckets of the byte n-grams, steps and step size of the fit, weight decay.
@@ -166,20 +166,25 @@ def fit(
 ) -> Model:
     """Fits the machines to the labelled documents that ``held_out`` does not name.
 
-    About ``sample_rows`` rows are drawn, as many for each language as there are; what comes back
-    of each is a sparse vector. Rows with a null text or language, or a text of over
-    ``sample_text_bytes``, are not learned from. No rows give a model without languages, one
-    language one without machines.
+    At most ``sample_rows`` different rows (one of each language at least) are drawn by a hash of id and
+    text, as many of each language as there are; what comes back of each is a sparse vector. Rows with
+    a null text or language, or a text of over ``sample_text_bytes``, are not learned from, and of rows
+    equal in id, text and language one is. No rows give a model without languages, one language one
+    without machines.
     """
     known = docs if held_out is None else docs.where(F.coalesce(~held_out, F.lit(True)))
     known = known.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     known = known.where(F.col("lang").isNotNull() & (F.octet_length("text") <= sample_text_bytes))
-    counts = dict(known.groupBy("lang").count().collect())
+    known = known.withColumn("drawn", F.xxhash64("id", "text", F.lit(11)))
+    counts = dict(known.groupBy("lang").agg(F.approx_count_distinct("drawn", 0.02)).collect())
     if not counts:
         return Model({}, [], {})
-    each = sample_rows / len(counts)
-    rate = F.create_map(*[F.lit(v) for n, c in counts.items() for v in (n, int(min(1.0, each / c) * (1 << 30)))])
-    drawn = known.where(F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) < rate[F.col("lang")])
+    each = max(1, sample_rows // len(counts))
+    # half more different rows than are kept: the sort of one language is over few
+    rate = F.create_map(*[F.lit(v) for n, c in counts.items() for v in (n, int(min(1.0, 1.5 * each / c) * (1 << 30)))])
+    drawn = known.where(F.pmod("drawn", F.lit(1 << 30)) < rate[F.col("lang")]).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("drawn", "id", "text"))
+    drawn = drawn.withColumn("place", place).where(F.col("place") <= each)
     buckets = 1 << BUCKET_BITS
     rows = (
         drawn.select("lang", "text")

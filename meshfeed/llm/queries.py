@@ -31,6 +31,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of three phrases in every document, and the labels of these and of the notices found."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = licenses.scan(docs, licenses.build_index(docs))
     base = F.transform("base_places", lambda p: p["label"])
@@ -50,12 +51,14 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and the smallest id of its class of near copies."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=3, radius=2)
     digits = F.lpad(F.lower(F.hex("simhash")), 16, "0").alias("fingerprint")
     return found.select("doc_id", digits, "component_id")
 
 
 def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty largest inner products of every twentieth vector with all others, exactly."""
     vectors = topk.integer_vectors(_table(spark, sf_dir, "embeddings"), scale=64)
     return topk.top_k(vectors, F.col("id") % 20 == 0, k=20)
 
@@ -86,6 +89,8 @@ def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicit
 
 
 def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probability of label 1. A null id is in no part of the split: ``held_out`` is null,
+    and nothing is learned from it."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     found = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
     return found.select(
@@ -98,6 +103,7 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base patterns' counts and digest, and all spans with those that the trees add, for every document."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     proposed = stage(pii.propose(docs).drop("text"), "candidates")
     found = pii.select(proposed, pii.fit(proposed))
@@ -110,6 +116,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language. A null id's ``held_out`` is null; such rows are learned from."""
     docs = _table(spark, sf_dir, "documents")
     model = language.fit(docs, held_out=remainder("doc_id", 5) == 0)
     found = language.identify(docs.select("doc_id", "text"), model)
@@ -118,6 +125,7 @@ def language_identification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces of at most 4,096 tokens and their places in sequences."""
     return packing.pack_documents(
         _table(spark, sf_dir, "documents"),
         public_tokenizers.path("word_bpe_49k.json"),
@@ -131,6 +139,7 @@ SHARD_BYTES = 1 << 20
 
 
 def extendible_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document; shards hold at most ``SHARD_BYTES``."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", F.octet_length("text").cast("long").alias("bytes"))
     return sharding.assign(docs, "bytes", SHARD_BYTES)
 
@@ -154,6 +163,7 @@ from best where n = 1
 
 
 def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by a labeller fitted to the table's own pages."""
     pages = _table(spark, sf_dir, "pages")
     found = extraction.extract(pages, extraction.fit(pages))
     text = F.col("main_text")
@@ -161,6 +171,7 @@ def html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document shares with the benchmark, by windows of ten words."""
     docs, bench = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs.select("doc_id", "text"), bench, window=10)
     return found.select(

@@ -125,6 +125,15 @@ def test_language_on_held_out_documents(docs, language_model):
     assert all(0 <= r.lang_score <= 1 for r in rows)
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language, "_pairs", lambda names, labels, x: seen.append(list(labels)) or [])
+    rows = [(k, f"the text of {k} words", "en") for k in range(300)] + [(7, "das ist ein Text", "de")] * 500 + [(None, "un texte", "fr")] * 500
+    language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4), sample_rows=60)
+    assert sorted(seen[0]) == ["germanic"] * 21 + ["romance"]
+    assert sorted(seen[1]) == ["de"] + ["en"] * 20 + ["fr"]
+
+
 def test_language_edge_cases(spark, language_model):
     texts = [None, "", "12 34 !!", "²¼", "中文", "what is that with the and from this for was " * 4_000, "der die das und nicht eine"]
     docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id int, text string, lang_pred string")

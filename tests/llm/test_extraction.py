@@ -84,6 +84,13 @@ def test_edge_cases(spark, weights):
     assert ex.extract(pages.limit(0), weights).count() == 0
 
 
+def test_sample_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ex, "train", len)
+    pages = spark.range(400).selectExpr("id % 8 as page_id", "concat('<article><p>Text ', id % 8, '</p></article><footer>End</footer>') as html")
+    assert ex.fit(pages.repartition(4)) == 8
+    assert 0 < ex.fit(pages, sample_pages=3) <= 3
+
+
 def test_empty_table_gives_a_labeller(spark, weights):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     own = ex.fit(pages.limit(0))
