@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshfeed.llm import decontaminate, packing, pii, queries, simhash, toxicity
-from meshfeed.session import stage
+from meshfeed.session import delete_folder, shared_folder, temporary_tables
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -64,8 +64,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder before the next reads it."""
+    """All stages over ``documents``, each written to the shared folder before the next reads it.
+
+    What a stage staged itself goes when it is written, and its input when its output is. The result
+    reads the last but one stage's output and the tables of the last, which stay.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name}")
+        written = shared_folder(spark, f"pipeline-{name}")
+        with temporary_tables(spark):
+            out = step(spark, docs, sf_dir)
+            out.write.parquet(written)
+        if before:
+            delete_folder(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(written), written
     return STAGES[-1][1](spark, docs, sf_dir)

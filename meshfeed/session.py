@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,12 +71,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+_folders: ContextVar[list[str] | None] = ContextVar("folders of the open block of temporary tables", default=None)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
-    Everything that reads the result sees the same rows, whatever executors are lost later.
+    Everything that reads the result sees the same rows, whatever executors are lost later. The table
+    stays until the cluster clears the folder, or until the :func:`temporary_tables` block around ends.
     """
     folder = shared_folder(df.sparkSession, purpose)
+    if (made := _folders.get()) is not None:
+        made.append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
@@ -87,6 +94,29 @@ def hadoop_path(spark: SparkSession, path: str):
     return goal.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), goal
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder and all in it, if it is there."""
+    files, path = hadoop_path(spark, folder)
+    files.delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`stage` writes within the block are deleted after it, also if it fails.
+
+    An operator's result reads the tables that it staged when it is read itself, so it must have been
+    written by the end of the block. Blocks nest; a table belongs to the innermost.
+    """
+    made: list[str] = []
+    outer = _folders.set(made)
+    try:
+        yield
+    finally:
+        _folders.reset(outer)
+        for folder in made:
+            delete_folder(spark, folder)
+
+
 @contextmanager
 def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
     """``df`` as a written table for as long as the block runs; the files are deleted after it,
@@ -96,5 +126,4 @@ def staged(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
         df.write.parquet(folder)
         yield df.sparkSession.read.schema(df.schema).parquet(folder)
     finally:
-        files, path = hadoop_path(df.sparkSession, folder)
-        files.delete(path, True)
+        delete_folder(df.sparkSession, folder)
