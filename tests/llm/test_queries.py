@@ -1,5 +1,7 @@
 """The registered queries against their SQL, and the pipeline stage by stage."""
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,3 +72,13 @@ def test_pipeline_stages(spark, tmp_path):
         else:
             assert sorted(set(ids(kept))) == ids(before)
     assert kept.count() == corpus_pipeline.run(spark, SF).count()
+
+
+def test_pipeline_leaves_only_what_its_result_reads(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = {p.name for p in shared.iterdir()}
+    rows = corpus_pipeline.run(spark, SF).count()
+    left = {p.name.split("-")[0] for p in shared.iterdir() if p.name not in before}
+    assert rows and "pipeline" in left
+    assert left.isdisjoint({"toxicity", "fingerprinted", "candidates", "links", "tiles", "simhash"})
+    assert sum(p.name.startswith("pipeline-") for p in shared.iterdir() if p.name not in before) == 1
