@@ -36,18 +36,19 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds (Kiveris et al., 2014) until nothing changes, about as many as
     the logarithm of the longest chain. Each round is a written table in the shared folder, so a
-    lost executor costs a task. A node with very many links is summed on the map side, and its
+    lost executor costs a task. Neither star has more rows than links and nodes, so links are made
+    distinct once a round. A node with very many links is summed on the map side, and its
     links are joined with one row, which adaptive execution splits. No links give no rows; links
     from a node to itself and repeated links change nothing; links with a null are left out.
     """
     a, b = links.columns
     edges = links.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    edges = stage(edges.where("a is not null and b is not null").distinct(), "links")
+    edges = stage(edges.where("a is not null and b is not null"), "links")
     alone = edges.where("a = b").select(F.col("a").alias("node"), F.col("a").alias("root"))
     edges = edges.where("a <> b")
     last, now = None, _state(edges)
     while now[0] and now != last:
-        edges = stage(_small_star(_large_star(edges).distinct()).distinct(), "links")
+        edges = stage(_small_star(_large_star(edges)).distinct(), "links")
         last, now = now, _state(edges)
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root"))

@@ -113,7 +113,8 @@ def _join_up(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def _linked(home: np.ndarray, met: np.ndarray, radius: int, inner: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links of ``home`` with ``met`` (and within, if ``inner``) as a spanning forest."""
+    """Links of ``home`` with ``met`` (and within, if ``inner``) as a spanning forest: each group's members
+    linked to its least, so that comparisons which share that one agree."""
     values = np.concatenate([home, met])
     bits = values.view(np.uint64)  # of a signed number numpy counts the bits of its absolute value
     labels = np.arange(len(values))
@@ -124,8 +125,11 @@ def _linked(home: np.ndarray, met: np.ndarray, radius: int, inner: bool) -> tupl
         near = np.bitwise_count(bits[k : min(k + step, len(home)), None] ^ against[None, :]) <= radius
         i, j = np.nonzero(near)
         _join_up(labels, i + k, j + shift)
-    moved = np.flatnonzero(labels != np.arange(len(values)))
-    return values[moved], values[labels[moved]]
+    roots = values.copy()
+    np.minimum.at(roots, labels, values)
+    roots = roots[labels]
+    moved = np.flatnonzero(roots != values)
+    return values[moved], roots[moved]
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
@@ -226,7 +230,7 @@ def rooted(prints: DataFrame, doc_id: str, fingerprint: str, radius: int = 2) ->
     """``fingerprint``, ``root``, ``least`` for each distinct fingerprint: the fingerprint that names its
     class, and the smallest id of its own documents. Copies of a text share a fingerprint and are
     merged before anything is compared."""
-    least = prints.groupBy(fingerprint).agg(F.min(doc_id).alias("least"))
+    least = stage(prints.groupBy(fingerprint).agg(F.min(doc_id).alias("least")), "fingerprints")
     roots = components(near_links(least, fingerprint, radius)).withColumnRenamed("node", fingerprint)
     return stage(
         least.join(roots, fingerprint, "left").withColumn("root", F.coalesce("root", fingerprint)), "classes"

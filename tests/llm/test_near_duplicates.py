@@ -6,6 +6,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from meshfeed.llm import components as components_module
 from meshfeed.llm import simhash
 from meshfeed.llm.components import components
 
@@ -142,3 +143,23 @@ def test_fingerprints_are_computed_once_when_rows_are_dropped(spark):
     docs = spark.createDataFrame(ROWS, "doc_id bigint, text string")
     plan = simhash.drop_near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan
+
+
+def test_comparisons_link_to_the_least_member():
+    home, met = np.array([7, 3, 1 << 40]), np.array([1, -1])
+    a, b = simhash._linked(home, met, 1, inner=True)
+    assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(3, 1), (7, 1)]
+
+
+def test_links_are_made_distinct_once_a_round(spark, monkeypatch):
+    write, distinct = components_module.stage, []
+
+    def stage(df, purpose):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        distinct.append(len(re.findall(r"Aggregate \[a#\d+L, b#\d+L\], \[a#\d+L, b#\d+L\]", plan)))
+        return write(df, purpose)
+
+    monkeypatch.setattr(components_module, "stage", stage)
+    links = spark.createDataFrame([(k, k + 1) for k in range(9)] * 2 + [(20, 20), (31, 30)], "a long, b long")
+    assert dict(components(links).collect()) == {**dict.fromkeys(range(10), 0), 20: 20, 30: 30, 31: 30}
+    assert distinct[0] == 0 and set(distinct[1:]) == {1}
