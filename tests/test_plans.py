@@ -110,3 +110,9 @@ def test_document_is_sorted_only_if_asked(spark):
         with staged(_records(orders, order), "document") as records:
             text = plan(array_lines(records, bool(order)))
         assert ("rangepartitioning" in text) == bool(order)
+
+
+def test_one_file_row_is_not_copied_by_a_projection(spark):
+    """The row is as large as the report."""
+    text = plan(QUERIES["json_document_one_file"](spark, SF_DIR))
+    assert "Project" not in text and "Scan text" in text.replace("FileScan", "Scan")
