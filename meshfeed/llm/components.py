@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from meshfeed.session import stage
 
+#: Links that a round writes to a file, or fewer.
+FILE_ROWS = 1 << 18
+
 
 def _state(edges: DataFrame) -> tuple[int, int]:
     row = edges.agg(
@@ -15,6 +18,11 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row.n, row.h or 0
 
 
+def _files(edges: DataFrame, links: int) -> int:
+    """Files to write about so many links in; enough for all cores."""
+    return max(edges.sparkSession.sparkContext.defaultParallelism, -(-links // FILE_ROWS))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest node it knows."""
     both = edges.union(edges.select("b", "a")).toDF("u", "v")
@@ -38,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
     the logarithm of the longest chain. Each round is a written table in the shared folder, so a
     lost executor costs a task. Neither star has more rows than links and nodes, so links are made
     distinct once a round. A node with very many links is summed on the map side, and its
-    links are joined with one row, which adaptive execution splits. No links give no rows; links
+    links are joined with one row, which adaptive execution splits. A round writes files of some
+    ``FILE_ROWS`` links, so few links are not a file for each shuffle partition. No links give no rows; links
     from a node to itself and repeated links change nothing; links with a null are left out.
     """
     a, b = links.columns
@@ -48,7 +57,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = edges.where("a <> b")
     last, now = None, _state(edges)
     while now[0] and now != last:
-        edges = stage(_small_star(_large_star(edges)).distinct(), "links")
+        edges = stage(_small_star(_large_star(edges)).distinct().coalesce(_files(edges, now[0])), "links")
         last, now = now, _state(edges)
     found = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root"))

@@ -123,16 +123,20 @@ def token_pieces(
     text: str = "text",
     capacity: int = 4096,
     end_id: int = 1,
+    numbered: tuple[str, str] | None = None,
 ) -> DataFrame:
     """``doc_id``, ``piece``, ``start``, ``length``, ``ids`` (little-endian 32-bit numbers): each
     document's ids and ``end_id`` after them, cut after every ``capacity`` ids.
 
     A null or empty text has ``end_id`` alone, so every row gives at least one piece. Special
-    tokens' strings in a text are encoded as the tokenizer does.
+    tokens' strings in a text are encoded as the tokenizer does. ``numbered`` names two columns more:
+    the task, and a piece's number among the task's pieces of its length.
     """
     slim = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    more = numbered or ()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(capacity + 1, np.int64)
         for rows, _, _ in sliced(batches, "text"):
             texts = [t or "" for t in rows.column(1).to_pylist()]
             ids, cuts = tokenizer(tokenizer_path).encode(texts)
@@ -148,13 +152,27 @@ def token_pieces(
             data = pa.LargeBinaryArray.from_buffers(
                 pa.large_binary(), len(owner), [None, pa.py_buffer(ends.astype(np.int64) * 4), pa.py_buffer(ids)]
             ).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0).take(pa.array(owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size), data],
-                ["doc_id", "piece", "start", "length", "ids"],
-            )
+            columns = [rows.column(0).take(pa.array(owner)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(size), data]
+            if more:
+                task = np.full(len(owner), TaskContext.get().partitionId(), np.int32)
+                columns += [pa.array(task), pa.array(_numbers(size, seen))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids", *more])
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return map_texts(slim, run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary")
+    kinds = "".join(f", `{n}` {t}" for n, t in zip(more, ("int", "bigint"), strict=False))
+    return map_texts(slim, run, f"doc_id {kind}, piece int, start bigint, length bigint, ids binary{kinds}")
+
+
+def _numbers(sizes: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Each size's number among the equal ones before it; ``seen`` counts those of earlier calls, and is
+    brought up to date."""
+    counts = np.bincount(sizes, minlength=len(seen))
+    order = np.argsort(sizes, kind="stable")
+    numbers = np.empty(len(sizes), np.int64)
+    numbers[order] = np.arange(len(sizes)) - np.repeat(np.cumsum(counts) - counts, counts)
+    numbers += seen[sizes]
+    seen += counts
+    return numbers
 
 
 def plan_bins(counts: Mapping[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -245,11 +263,16 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> Dat
     table gives no rows. Columns named ``sequence_id`` and ``offset`` are replaced.
     """
     pieces = without(pieces, "sequence_id", "offset")
-    part, local, before = (fresh(pieces, f"pack_{n}") for n in ("part", "local", "before"))
-    counted = stage(
-        pieces.mapInArrow(_count_within_task(length, part, local), schema_with(pieces, **{part: "int", local: "bigint"})),
-        "pieces",
-    )
+    part, local = (fresh(pieces, f"pack_{n}") for n in ("part", "local"))
+    kinds = schema_with(pieces, **{part: "int", local: "bigint"})
+    return _packed(pieces.mapInArrow(_count_within_task(length, part, local), kinds), capacity, length, part, local)
+
+
+def _packed(numbered: DataFrame, capacity: int, length: str, part: str, local: str) -> DataFrame:
+    """:func:`pack` of pieces that have their task's number and their own in it already."""
+    counted = stage(numbered, "pieces")
+    kept = [n for n in counted.columns if n not in (part, local)]
+    before = fresh(counted, "pack_before")
     counts = dict(counted.groupBy(length).count().collect())
     if any(n is None or not 0 < n <= capacity for n in counts):
         raise ValueError(f"a piece has no length from 1 to {capacity}")
@@ -258,7 +281,7 @@ def pack(pieces: DataFrame, capacity: int = 4096, length: str = "length") -> Dat
     bases = counted.groupBy(part, length).agg(F.count("*").alias(before))
     bases = bases.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0)))
     rows = counted.join(bases, [part, length])
-    rows = rows.withColumn(local, F.col(local) + F.col(before)).select(*pieces.columns, local)
+    rows = rows.withColumn(local, F.col(local) + F.col(before)).select(*kept, local)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -308,8 +331,10 @@ def pack_documents(
     ``content`` says what is kept of each piece's ``ids``, by default the ids; a digest of them makes
     the stored table small. Repeated rows and ids are packed row by row.
     """
-    pieces = token_pieces(docs, tokenizer_path, doc_id, text, capacity, end_id)
     kept = {"ids": F.col("ids")} if content is None else content
-    return pack(
-        pieces.select("doc_id", "piece", "start", "length", *[c.alias(n) for n, c in kept.items()]), capacity
-    )
+    columns = ["doc_id", "piece", "start", "length", *[c.alias(n) for n, c in kept.items()]]
+    plain = token_pieces(docs, tokenizer_path, doc_id, text, capacity, end_id).select(*columns)
+    part, local = (fresh(plain, f"pack_{n}") for n in ("part", "local"))
+    # numbered by the Python that makes the pieces: a second one behind it would be a worker more for each core
+    pieces = token_pieces(docs, tokenizer_path, doc_id, text, capacity, end_id, numbered=(part, local))
+    return _packed(without(pieces.select(*columns, part, local), "sequence_id", "offset"), capacity, "length", part, local)

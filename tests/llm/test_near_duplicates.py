@@ -163,3 +163,26 @@ def test_links_are_made_distinct_once_a_round(spark, monkeypatch):
     links = spark.createDataFrame([(k, k + 1) for k in range(9)] * 2 + [(20, 20), (31, 30)], "a long, b long")
     assert dict(components(links).collect()) == {**dict.fromkeys(range(10), 0), 20: 20, 30: 30, 31: 30}
     assert distinct[0] == 0 and set(distinct[1:]) == {1}
+
+
+def test_few_links_are_written_to_few_files(spark, monkeypatch):
+    write, files = components_module.stage, []
+
+    def stage(df, purpose):
+        table = write(df, purpose)
+        files.append(len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(components_module, "stage", stage)
+    changed = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    try:
+        links = spark.createDataFrame([(k, k + 1) for k in range(0, 900) if k % 3 < 2], "a long, b long")
+        found = dict(components(links).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {k: k - k % 3 for k in range(900)}
+    assert len(files) > 2 and max(files[1:]) <= spark.sparkContext.defaultParallelism

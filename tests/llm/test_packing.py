@@ -96,3 +96,29 @@ def test_empty_table_and_bad_lengths(spark):
     assert packing.pack_documents(docs, PATH).count() == 0
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, None), (2, 3)], "doc_id int, length bigint"), 10)
+
+
+def test_one_python_step_makes_and_numbers_the_pieces(spark, monkeypatch):
+    """Two of them in one task are two Python workers for each core."""
+    write, steps = packing.stage, []
+
+    def stage(df, purpose):
+        steps.append(df._jdf.queryExecution().executedPlan().toString().count("MapInArrow"))
+        return write(df, purpose)
+
+    monkeypatch.setattr(packing, "stage", stage)
+    docs = spark.createDataFrame([(k, "word " * (k % 5 * 7)) for k in range(60)] + [(None, None), (3, "a b")], "doc_id bigint, text string")
+    kept = {"pack_part": F.crc32("ids"), "pack_local": F.lit("own")}
+    out = packing.pack_documents(docs.repartition(4), PATH, capacity=16, content=kept)
+    assert steps == [1]
+    assert out.columns == ["doc_id", "piece", "start", "length", "pack_part", "pack_local", "sequence_id", "offset"]
+    rows = out.collect()
+    check_places(rows, 16)
+    assert len({(r.sequence_id, r.offset) for r in rows}) == len(rows) == sum(-(-(k % 5 * 7 + 1) // 16) for k in range(60)) + 2
+
+
+def test_numbers_go_on_from_batch_to_batch():
+    seen, sizes = np.zeros(6, np.int64), [5, 1, 5, 5, 2, 1, 5]
+    cuts = [0, 0, 2, 5, 7]
+    got = [packing._numbers(np.array(sizes[a:b], np.int64), seen).tolist() for a, b in zip(cuts, cuts[1:], strict=False)]
+    assert got == [[], [0, 0], [1, 2, 0], [1, 3]]
